@@ -1,0 +1,24 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default ceiling on rows shipped to every executor. A dimension row of the
+# selection tables is a key, two labels and a few dozen doubles (< 1 KB), so
+# this keeps a broadcast under a few hundred MB.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows (the limit is pushed into the scan)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is checked to be small, else ``df``
+    unchanged, so the planner uses a shuffle join (AQE may still convert it
+    at run time from measured sizes)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
