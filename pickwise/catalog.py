@@ -60,10 +60,13 @@ def fitted(spark: SparkSession, sf: str, strategy: str = "mean"):
     return model, d, p, c
 
 
-def combined(spark: SparkSession, sf: str) -> DataFrame:
+def combined(spark: SparkSession, sf: str, reuse: bool = False) -> DataFrame:
+    """The combined table; ``reuse`` writes it to the checkpoint folder once
+    for queries that read it several times."""
     model, d, p, c = fitted(spark, sf)
     dd, pp, cc = model.transform(d, p, c)
-    return cmb.combine(dd, pp, cc, model.demand_features, model.plant_features)
+    out = cmb.combine(dd, pp, cc, model.demand_features, model.plant_features)
+    return cv.materialize(out) if reuse else out
 
 
 def predicted(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,15 +173,15 @@ def q_group_key(spark, sf):
 
 
 def q_group_split(spark, sf):
-    return split.split_groups(combined(spark, sf), TEST_FRACTION, SEED)
+    return split.split_groups(combined(spark, sf, reuse=True), TEST_FRACTION, SEED)
 
 
 def q_split_counts(spark, sf):
-    return split.split_counts(demand_split(combined(spark, sf)))
+    return split.split_counts(demand_split(combined(spark, sf, reuse=True)))
 
 
 def q_logo_folds(spark, sf):
-    return split.logo_folds(combined(spark, sf), None)
+    return split.logo_folds(combined(spark, sf, reuse=True), None)
 
 
 def q_scenario_table(spark, sf):
@@ -305,7 +308,7 @@ def q_serve_pair_cost(spark, sf):
 
 
 def q_group_gram(spark, sf):
-    comb = split.with_group(combined(spark, sf))
+    comb = split.with_group(combined(spark, sf, reuse=True))
     feats = [c for c in comb.columns if c[:2] in ("DF", "PF")]
     stats = gram.gram_stats(comb, feats, cmb.COST, group="Group")
     return stats.select("Group", *[round_sig(c) for c in stats.columns if c != "Group"])
@@ -318,7 +321,7 @@ def _features(df: DataFrame) -> list[str]:
 
 
 def _train_test(spark, sf):
-    comb = cv.materialize(demand_split(combined(spark, sf)))
+    comb = cv.materialize(demand_split(combined(spark, sf, reuse=True)))
     return comb.filter(~F.col("is_test")).drop("is_test"), comb.filter(F.col("is_test")).drop("is_test")
 
 

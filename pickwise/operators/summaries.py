@@ -126,12 +126,32 @@ def feature_importance(importances: list[float], names: list[str], spark, k: int
     return df.orderBy(F.desc("importance"), "feature").limit(k)
 
 
+class LazySummaries(dict):
+    """A dict whose entries may be built on first access."""
+
+    def __init__(self, *a, **kw):
+        super().__init__(*a, **kw)
+        self._later = {}
+
+    def later(self, key, build):
+        self._later[key] = build
+
+    def __getitem__(self, key):
+        if key not in self.keys() and key in self._later:
+            super().__setitem__(key, self._later.pop(key)())
+        return super().__getitem__(key)
+
+    def pending(self) -> list:
+        return list(self._later)
+
+
 def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataFrame,
                    scenario: DataFrame, folds: DataFrame, plant: str = "plant_id",
                    cost: str = "cost", importances: DataFrame | None = None,
                    quantile_method: str = "exact") -> dict[str, DataFrame]:
-    """Every summary as a lazy DataFrame."""
-    out = {
+    """Every summary as a lazy DataFrame (the cumulative RMSE, which
+    needs a sort written to the checkpoint folder, is built on first access)."""
+    out = LazySummaries({
         "cost_histogram": histogram(costs, cost, 50),
         "cost_mean": mean_line(costs, cost),
         "boxplot_stats": boxplot_stats(costs, 10, plant, cost, quantile_method),
@@ -144,8 +164,8 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
         "regret_mean": mean_line(scenario, "Selection_Error"),
         "selection_quality": selection_quality(scenario),
         "fold_mean": mean_line(folds, "Selection_Error"),
-        "cumulative_rmse": cumulative_rmse(folds),
-    }
+    })
+    out.later("cumulative_rmse", lambda: cumulative_rmse(folds))
     if importances is not None:
         out["feature_importance"] = importances
     return out

@@ -18,7 +18,7 @@ from ..operators.regret import error_stats
 from ..operators.split import group_split
 from ..operators.summaries import model_comparison, summary_bundle
 from ..sources import sinks
-from .cv import evaluate, grid_search, logo_cv, materialize
+from .cv import evaluate, gram_folds, grid_search, logo_cv, materialize
 from .models import DEFAULT_GRIDS, DEFAULT_PARAMS, check_model_type, fit_model
 
 
@@ -87,11 +87,11 @@ class SelectionRun:
     summaries: dict
 
 
-def _results(opts: SelectionOptions, params: dict, combined, train, test, features) -> ModelResults:
+def _results(opts: SelectionOptions, params: dict, combined, train, test, features, prepared) -> ModelResults:
     model = fit_model(opts.model_type, params, opts.random_seed, train, features)
     ev = evaluate(model, test, opts.quantile_method)
     folds = logo_cv(opts.model_type, params, combined, features, opts.random_seed, opts.cv_n_folds,
-                    opts.parallelism, opts.fold_mode, opts.kfold_k)
+                    opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds))
     folds = materialize(folds)
     return ModelResults(params, model, ev, folds, error_stats(folds, quantile_method=opts.quantile_method))
 
@@ -114,15 +114,21 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
 
-    baseline = _results(opts, dict(opts.model_params), combined, train, test, features)
+    # Lasso LOGO/grid share one set of group statistics per fold count.
+    prepared = {}
+    if opts.model_type == "lasso" and opts.fold_mode == "logo":
+        for nf in {opts.cv_n_folds, opts.hyperparam_cv_folds}:
+            prepared[nf] = gram_folds(combined, features, nf)
+    baseline = _results(opts, dict(opts.model_params), combined, train, test, features, prepared)
     optimized = None
     if opts.hyperparam_enabled:
         g = grid_search(opts.model_type, opts.tuning_grid, combined, features, opts.random_seed,
                         opts.hyperparam_cv_folds, opts.parallelism, opts.hyperparam_scoring,
-                        opts.fold_mode, opts.kfold_k)
+                        opts.fold_mode, opts.kfold_k, defaults=opts.model_params,
+                        prepared=prepared.get(opts.hyperparam_cv_folds))
         # Grid values over the defaults (the reference drops non-grid defaults).
         best = {**opts.model_params, **g.best_params}
-        optimized = _results(opts, best, combined, train, test, features)
+        optimized = _results(opts, best, combined, train, test, features, prepared)
         optimized.leaderboard, optimized.best_rmse = g.leaderboard, g.best_rmse
     final = optimized if optimized is not None else baseline
 

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_bounded
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +51,8 @@ def fixture_demands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    nation = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # nation is a plain file scan: the planner broadcasts it from its file size.
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     per_supp = (table(spark, sf_dir, "lineitem").groupBy("l_suppkey")
                 .agg(F.avg("l_quantity").alias("avg_qty"), F.avg("l_discount").alias("avg_disc")))
     j = (supp.join(nation, supp.s_nationkey == nation.n_nationkey)
