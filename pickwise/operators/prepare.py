@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
 from ..functions.quantiles import grouped_quantiles, quantile_expr
+from ..session import ensure_checkpoint_dir
 
 STRATEGIES = ("mean", "median", "zero")
 
@@ -177,7 +178,11 @@ class Preprocessor:
         fit_fill = "mean" if self.missing_value_strategy == "mean" else "median"
         dscaler = fit_scaler(impute(demand, dfeat, fit_fill, self.quantile_method), dfeat)
         pscaler = fit_scaler(plants, pfeat)
-        stats = plant_cost_stats(costs, self.plant_key, self.cost, self.quantile_method)
+        # The per-plant statistics (one row per plant) are written once to the
+        # checkpoint folder: the cut-off and every later transform read them
+        # instead of recomputing them from the cost table.
+        ensure_checkpoint_dir(costs.sparkSession)
+        stats = plant_cost_stats(costs, self.plant_key, self.cost, self.quantile_method).checkpoint(eager=True)
         thr_row = cost_threshold(stats, self.plant_filter_percentile, self.quantile_method).first()
         threshold = thr_row["threshold"] if thr_row is not None else None
         flags = plant_flags(stats, F.lit(threshold).cast("double"))

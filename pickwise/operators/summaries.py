@@ -61,7 +61,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
     n = F.lit(bins)
     idx = F.least(F.floor((F.col("__v") - lo) / (hi - lo) * n), n - 1).cast("int")
-    counts = present.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # Project the bin first: the bounds are scalar subqueries, which may not
+    # sit inside a grouping expression.
+    counts = present.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     edges = all_bins.select(

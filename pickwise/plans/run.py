@@ -7,6 +7,7 @@ RMSE numbers.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,14 +86,17 @@ class SelectionRun:
     final: ModelResults
     comparison: DataFrame
     summaries: dict
+    timings: dict = field(default_factory=dict)
 
 
-def _results(opts: SelectionOptions, params: dict, combined, train, test, features, prepared) -> ModelResults:
+def _results(opts: SelectionOptions, params: dict, combined, train, test, features, prepared,
+             folds: DataFrame | None = None) -> ModelResults:
     model = fit_model(opts.model_type, params, opts.random_seed, train, features)
     ev = evaluate(model, test, opts.quantile_method)
-    folds = logo_cv(opts.model_type, params, combined, features, opts.random_seed, opts.cv_n_folds,
-                    opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds))
-    folds = materialize(folds)
+    if folds is None:
+        folds = logo_cv(opts.model_type, params, combined, features, opts.random_seed, opts.cv_n_folds,
+                        opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds))
+        folds = materialize(folds)
     return ModelResults(params, model, ev, folds, error_stats(folds, quantile_method=opts.quantile_method))
 
 
@@ -102,15 +106,20 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     evaluation + LOGO CV, optional grid search and optimized model, final
     choice, optional artifacts, summaries."""
     opts = options or SelectionOptions(**overrides)
+    clock = _Clock()
     ingest = sinks.ingest_report({"demand": demand, "plants": plants, "costs": costs})
     prep = Preprocessor(opts.plant_filter_percentile, opts.missing_value_strategy, opts.demand_key,
                         opts.plant_key, opts.cost, quantile_method=opts.quantile_method).fit(demand, plants, costs)
+    clock.lap("preprocess_fit")
     d, p, c = prep.transform(demand, plants, costs)
     features = prep.all_features
     combined = materialize(combine(d, p, c, prep.demand_features, prep.plant_features,
                                    opts.demand_key, opts.plant_key, opts.cost))
+    # The flag is a projection of the (checkpointed) combined rows against a
+    # one-row cut, so it is cheap to recompute and is not written again.
+    clock.lap("combine")
     flagged = group_split(combined, float(opts.test_size_percent) / 100.0, opts.random_seed)
-    flagged = materialize(flagged)
+    clock.lap("split")
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
 
@@ -119,17 +128,28 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     if opts.model_type == "lasso" and opts.fold_mode == "logo":
         for nf in {opts.cv_n_folds, opts.hyperparam_cv_folds}:
             prepared[nf] = gram_folds(combined, features, nf)
+    clock.lap("group_statistics")
     baseline = _results(opts, dict(opts.model_params), combined, train, test, features, prepared)
+    clock.lap("baseline")
     optimized = None
     if opts.hyperparam_enabled:
         g = grid_search(opts.model_type, opts.tuning_grid, combined, features, opts.random_seed,
                         opts.hyperparam_cv_folds, opts.parallelism, opts.hyperparam_scoring,
                         opts.fold_mode, opts.kfold_k, defaults=opts.model_params,
                         prepared=prepared.get(opts.hyperparam_cv_folds))
+        clock.lap("grid_search")
         # Grid values over the defaults (the reference drops non-grid defaults).
         best = {**opts.model_params, **g.best_params}
-        optimized = _results(opts, best, combined, train, test, features, prepared)
+        reuse = None
+        if (opts.model_type == "lasso" and opts.fold_mode == "logo" and opts.hyperparam_scoring == "regret"
+                and opts.cv_n_folds == opts.hyperparam_cv_folds and set(opts.tuning_grid) <= {"alpha"}
+                and g.best_combo is not None):
+            # The grid already ran every fold of the best alpha on the same folds.
+            reuse = (g.fold_scores.filter(F.col("combo_idx") == g.best_combo)
+                     .select("Fold", "Demand_ID", "Selection_Error", "Fold_RMSE"))
+        optimized = _results(opts, best, combined, train, test, features, prepared, reuse)
         optimized.leaderboard, optimized.best_rmse = g.leaderboard, g.best_rmse
+        clock.lap("optimized")
     final = optimized if optimized is not None else baseline
 
     errors = {("baseline", "test"): baseline.test.scenario, ("baseline", "logo"): baseline.logo_folds}
@@ -144,13 +164,28 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     importances = feature_importance(imp, features, spark) if imp is not None else None
     summaries = summary_bundle(costs, scored_train, final.test.scored, final.test.scenario, final.logo_folds,
                                opts.plant_key, opts.cost, importances, opts.quantile_method)
+    clock.lap("summaries")
     run = SelectionRun(opts, ingest, prep, combined, train, test, baseline, optimized, final, comparison,
-                       summaries)
+                       summaries, clock.laps)
     if opts.output_dir:
         write_artifacts(spark, run)
+        clock.lap("artifacts")
     return run
 
 
+class _Clock:
+    """Wall time of the eager steps (fits, checkpoints) per stage."""
+
+    def __init__(self):
+        self.laps: dict[str, float] = {}
+        self._t = time.perf_counter()
+
+    def lap(self, name: str) -> None:
+        now = time.perf_counter()
+        self.laps[name] = round(now - self._t, 3)
+        self._t = now
+
+
 def write_artifacts(spark: SparkSession, run: SelectionRun) -> None:
     """S4-S10 under ``output_dir``."""
     o, f = run.options, run.final
