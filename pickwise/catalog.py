@@ -54,8 +54,14 @@ def inputs(spark: SparkSession, sf: str):
     return fx.fixture_demands(spark, sf), fx.fixture_plants(spark, sf), fx.fixture_costs(spark, sf)
 
 
+def staged_inputs(spark: SparkSession, sf: str):
+    """The three inputs written once to the checkpoint folder, for queries
+    that read them in several jobs (fit, transform, combine)."""
+    return tuple(cv.materialize(df) for df in inputs(spark, sf))
+
+
 def fitted(spark: SparkSession, sf: str, strategy: str = "mean"):
-    d, p, c = inputs(spark, sf)
+    d, p, c = staged_inputs(spark, sf)
     model = prep.Preprocessor(PERCENTILE, strategy).fit(d, p, c)
     return model, d, p, c
 
@@ -364,7 +370,7 @@ def q_forest_kfold_cv(spark, sf):
 
 
 def q_full_run(spark, sf):
-    d, p, c = inputs(spark, sf)
+    d, p, c = staged_inputs(spark, sf)
     run = run_selection(spark, d, p, c, SelectionOptions(model_type="lasso", cv_n_folds=None,
                                                          hyperparam_cv_folds=None))
     return run.final.test.scenario

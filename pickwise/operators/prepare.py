@@ -39,16 +39,28 @@ def fill_stats(df: DataFrame, features: list[str], strategy: str,
     return df.sparkSession.range(1).select(*[F.lit(0.0).alias(c) for c in features])
 
 
+def fill_values(df: DataFrame, features: list[str], strategy: str,
+                quantile_method: str = "exact") -> dict[str, float | None]:
+    """The fill value of every feature as numbers (one aggregate job, one row
+    of ``len(features)`` numbers to the driver)."""
+    if strategy not in ("mean", "median") or not features:
+        return {c: 0.0 for c in features}
+    row = fill_stats(df, features, strategy, quantile_method).first()
+    return {c: row[c] for c in features}
+
+
 def impute(df: DataFrame, features: list[str], strategy: str = "mean",
-           quantile_method: str = "exact") -> DataFrame:
+           quantile_method: str = "exact", eager: bool = True) -> DataFrame:
     """Fill missing feature values. The fill values are computed on
-    ``df`` itself (lazy scalar subqueries, merged by Catalyst into one
-    aggregate), not taken from a fit."""
-    if strategy in ("mean", "median"):
+    ``df`` itself, not taken from a fit. ``eager`` (default) computes them
+    now - like MLlib's Imputer - so later plans carry literals; ``eager=False``
+    keeps them as lazy scalar subqueries (merged by Catalyst into one
+    aggregate, but re-run by every job that reads the result)."""
+    if strategy in ("mean", "median") and not eager:
         stats = fill_stats(df, features, strategy, quantile_method)
         fills = {c: stats.select(c).scalar() for c in features}
     else:
-        fills = {c: F.lit(0.0) for c in features}
+        fills = {c: F.lit(v).cast("double") for c, v in fill_values(df, features, strategy, quantile_method).items()}
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), fills[c]) for c in features})
 
 
@@ -94,6 +106,24 @@ def fit_scaler(df: DataFrame, features: list[str]) -> ScalerParams:
                         [row[f"{c}__std"] for c in features])
 
 
+def fit_scaler_mean_filled(df: DataFrame, features: list[str]) -> ScalerParams:
+    """P5 for the ``mean`` strategy in one pass: filling with the mean keeps
+    the mean, and the population variance of the filled column is the
+    variance of the present values times present/all rows."""
+    if not features:
+        return ScalerParams([], [], [])
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for c in features:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"{c}__mean"), F.var_pop(x).alias(f"{c}__var"), F.count(x).alias(f"{c}__cnt")]
+    row = df.agg(*aggs).first()
+    stds = []
+    for c in features:
+        var, cnt = row[f"{c}__var"], row[f"{c}__cnt"]
+        stds.append(None if var is None else (var * cnt / row["__n"]) ** 0.5)
+    return ScalerParams(list(features), [row[f"{c}__mean"] for c in features], stds)
+
+
 def standardize_lazy(df: DataFrame, features: list[str], fit_df: DataFrame | None = None) -> DataFrame:
     """Standardise with statistics of ``fit_df`` (default ``df``) as scalar
     subqueries, without bringing anything to the driver."""
@@ -176,7 +206,10 @@ class Preprocessor:
         # Scaler fit data: mean-filled for 'mean', median-filled otherwise
         # (also for 'zero', whose transform then fills 0).
         fit_fill = "mean" if self.missing_value_strategy == "mean" else "median"
-        dscaler = fit_scaler(impute(demand, dfeat, fit_fill, self.quantile_method), dfeat)
+        if fit_fill == "mean":
+            dscaler = fit_scaler_mean_filled(demand, dfeat)
+        else:
+            dscaler = fit_scaler(impute(demand, dfeat, fit_fill, self.quantile_method), dfeat)
         pscaler = fit_scaler(plants, pfeat)
         # The per-plant statistics (one row per plant) are written once to the
         # checkpoint folder: the cut-off and every later transform read them
