@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
-from ..functions.quantiles import grouped_quantiles, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
 from ..session import ensure_checkpoint_dir
 
 STRATEGIES = ("mean", "median", "zero")
@@ -24,23 +24,23 @@ STRATEGIES = ("mean", "median", "zero")
 # ---------------------------------------------------------------- imputation
 
 def fill_stats(df: DataFrame, features: list[str], strategy: str,
-               quantile_method: str = "exact") -> DataFrame:
+               quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """One-row table with the fill value of every feature: column mean or
     median over the non-missing values (``zero``/others: 0)."""
     if strategy == "mean":
         return df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features])
     if strategy == "median":
-        if quantile_method == "sorted":
+        if quantile_method in ("sorted", "auto"):
             long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v"))
                                                  for c in features])).alias("fv")).select("fv.f", "fv.v")
-            med = grouped_quantiles(long, ["f"], "v", {"m": 0.5}, "sorted")
+            med = grouped_quantiles(long, ["f"], "v", {"m": 0.5}, quantile_method)
             return med.groupBy().agg(*[F.max(F.when(F.col("f") == c, F.col("m"))).alias(c) for c in features])
         return df.agg(*[quantile_expr(F.col(c).cast("double"), 0.5, quantile_method).alias(c) for c in features])
     return df.sparkSession.range(1).select(*[F.lit(0.0).alias(c) for c in features])
 
 
 def fill_values(df: DataFrame, features: list[str], strategy: str,
-                quantile_method: str = "exact") -> dict[str, float | None]:
+                quantile_method: str = DEFAULT_METHOD) -> dict[str, float | None]:
     """The fill value of every feature as numbers (one aggregate job, one row
     of ``len(features)`` numbers to the driver)."""
     if strategy not in ("mean", "median") or not features:
@@ -50,7 +50,7 @@ def fill_values(df: DataFrame, features: list[str], strategy: str,
 
 
 def impute(df: DataFrame, features: list[str], strategy: str = "mean",
-           quantile_method: str = "exact", eager: bool = True) -> DataFrame:
+           quantile_method: str = DEFAULT_METHOD, eager: bool = True) -> DataFrame:
     """Fill missing feature values. The fill values are computed on
     ``df`` itself, not taken from a fit. ``eager`` (default) computes them
     now - like MLlib's Imputer - so later plans carry literals; ``eager=False``
@@ -139,14 +139,14 @@ def standardize_lazy(df: DataFrame, features: list[str], fit_df: DataFrame | Non
 # ------------------------------------------------------ candidate statistics
 
 def plant_cost_stats(costs: DataFrame, plant_key: str = "plant_id", cost: str = "cost",
-                     quantile_method: str = "exact") -> DataFrame:
+                     quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """A1: per plant, over all (unfiltered) cost rows: median, mean and count
     of the non-missing costs. Plants whose costs are all missing get null
     median/mean and count 0. Rows without a plant key are ignored."""
     keyed = costs.filter(F.col(plant_key).isNotNull()).select(plant_key, cost)
-    if quantile_method == "sorted":
+    if quantile_method in ("sorted", "auto"):
         basic = keyed.groupBy(plant_key).agg(F.avg(cost).alias("mean_cost"), F.count(cost).alias("n_costs"))
-        med = grouped_quantiles(keyed, [plant_key], cost, {"median_cost": 0.5}, "sorted")
+        med = grouped_quantiles(keyed, [plant_key], cost, {"median_cost": 0.5}, quantile_method)
         return basic.join(med, plant_key, "left").select(plant_key, "median_cost", "mean_cost", "n_costs")
     return keyed.groupBy(plant_key).agg(
         quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
@@ -154,12 +154,12 @@ def plant_cost_stats(costs: DataFrame, plant_key: str = "plant_id", cost: str =
         F.count(cost).alias("n_costs"))
 
 
-def cost_threshold(stats: DataFrame, percentile: float = 75.0, quantile_method: str = "exact") -> DataFrame:
+def cost_threshold(stats: DataFrame, percentile: float = 75.0, quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """A2: one row, ``threshold`` = the percentile/100 quantile (linear) of the
     plant medians."""
     q = float(percentile) / 100.0
-    if quantile_method == "sorted":
-        return grouped_quantiles(stats, [], "median_cost", {"threshold": q}, "sorted")
+    if quantile_method in ("sorted", "auto"):
+        return grouped_quantiles(stats, [], "median_cost", {"threshold": q}, quantile_method)
     return stats.agg(quantile_expr("median_cost", q, quantile_method).alias("threshold"))
 
 
@@ -198,7 +198,7 @@ class Preprocessor:
     cost: str = "cost"
     demand_prefix: str = "DF"
     plant_prefix: str = "PF"
-    quantile_method: str = "exact"
+    quantile_method: str = DEFAULT_METHOD
 
     def fit(self, demand: DataFrame, plants: DataFrame, costs: DataFrame) -> "PreprocessModel":
         dfeat = discover_features(demand, self.demand_prefix)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_ratio
-from ..functions.quantiles import quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
 from ..functions.ranking import with_running_sums
 from .combine import COST, DEMAND, PLANT
 
@@ -61,16 +61,23 @@ def regret_rmse_expr(err: str | Column = "Selection_Error") -> Column:
 
 
 def error_stats(errors: DataFrame, err: str = "Selection_Error", group: list[str] | None = None,
-                quantile_method: str = "exact") -> DataFrame:
+                quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """A10: mean, median, population std, min, max, rmse, count of the
     non-missing errors. No errors: every statistic is 0 and count 0."""
     e = F.col(err)
-    aggs = [F.avg(e).alias("mean"), quantile_expr(err, 0.5, quantile_method).alias("median"),
-            F.stddev_pop(e).alias("std"), F.min(e).alias("min"), F.max(e).alias("max"),
-            regret_rmse_expr(e).alias("rmse"), F.count(e).alias("count")]
+    aggs = [F.avg(e).alias("mean"), F.stddev_pop(e).alias("std"), F.min(e).alias("min"),
+            F.max(e).alias("max"), regret_rmse_expr(e).alias("rmse"), F.count(e).alias("count")]
     src = errors.filter(e.isNotNull())
-    out = src.groupBy(*group).agg(*aggs) if group else src.agg(*aggs)
     keep = list(group or [])
+    if quantile_method in ("exact", "approx"):
+        aggs.append(quantile_expr(err, 0.5, quantile_method).alias("median"))
+        out = src.groupBy(*keep).agg(*aggs) if keep else src.agg(*aggs)
+    else:
+        med = grouped_quantiles(src.select(*keep, err), keep, err, {"median": 0.5}, quantile_method)
+        if keep:
+            out = src.groupBy(*keep).agg(*aggs).join(med, keep, "left")
+        else:
+            out = src.agg(*aggs).withColumn("median", med.select("median").scalar())
     return out.select(*keep, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in STAT_NAMES[:-1]],
                       F.col("count"))
 

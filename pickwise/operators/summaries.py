@@ -8,28 +8,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import grouped_quantiles, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
 from .regret import STAT_NAMES, cumulative_rmse, error_stats, improvement_pct, selection_quality
 
 
 def plant_performance(costs: DataFrame, plant: str = "plant_id", cost: str = "cost",
-                      quantile_method: str = "exact") -> DataFrame:
+                      quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """Per plant mean, median, sample std and count of its costs."""
     c = F.col(cost)
-    return (costs.filter(F.col(plant).isNotNull()).groupBy(plant)
-            .agg(F.avg(c).alias("mean_cost"), quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
-                 F.stddev_samp(c).alias("std_cost"), F.count(c).alias("n_costs")))
+    keyed = costs.filter(F.col(plant).isNotNull())
+    if quantile_method in ("exact", "approx"):
+        return keyed.groupBy(plant).agg(
+            F.avg(c).alias("mean_cost"), quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
+            F.stddev_samp(c).alias("std_cost"), F.count(c).alias("n_costs"))
+    basic = keyed.groupBy(plant).agg(F.avg(c).alias("mean_cost"), F.stddev_samp(c).alias("std_cost"),
+                                     F.count(c).alias("n_costs"))
+    med = grouped_quantiles(keyed.select(plant, cost), [plant], cost, {"median_cost": 0.5}, quantile_method)
+    return basic.join(med, plant, "left").select(plant, "mean_cost", "median_cost", "std_cost", "n_costs")
 
 
 def cheapest_plants(costs: DataFrame, k: int = 10, plant: str = "plant_id", cost: str = "cost",
-                    quantile_method: str = "exact") -> DataFrame:
+                    quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """L4: the ``k`` plants with the lowest median cost (ties: plant key)."""
     perf = plant_performance(costs, plant, cost, quantile_method).filter(F.col("median_cost").isNotNull())
     return perf.orderBy("median_cost", plant).limit(k)
 
 
 def boxplot_stats(costs: DataFrame, k: int = 10, plant: str = "plant_id", cost: str = "cost",
-                  quantile_method: str = "exact") -> DataFrame:
+                  quantile_method: str = DEFAULT_METHOD) -> DataFrame:
     """Box-plot numbers for the ``k`` cheapest plants: quartiles
     (linear), whiskers = most extreme costs within 1.5 IQR of the box, and
     the number of outliers beyond them."""
@@ -150,7 +156,7 @@ class LazySummaries(dict):
 def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataFrame,
                    scenario: DataFrame, folds: DataFrame, plant: str = "plant_id",
                    cost: str = "cost", importances: DataFrame | None = None,
-                   quantile_method: str = "exact") -> dict[str, DataFrame]:
+                   quantile_method: str = DEFAULT_METHOD) -> dict[str, DataFrame]:
     """Every summary as a lazy DataFrame (the cumulative RMSE, which
     needs a sort written to the checkpoint folder, is built on first access)."""
     out = LazySummaries({

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import DEFAULT_METHOD
 from ..operators.combine import combine
 from ..operators.prepare import STRATEGIES, Preprocessor
 from ..operators.regret import error_stats
@@ -40,7 +41,7 @@ class SelectionOptions:
     hyperparam_scoring: str = "regret"
     fold_mode: str = "logo"
     kfold_k: int = 5
-    quantile_method: str = "exact"
+    quantile_method: str = DEFAULT_METHOD
     demand_key: str = "demand_id"
     plant_key: str = "plant_id"
     cost: str = "cost"

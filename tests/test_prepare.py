@@ -74,3 +74,19 @@ def test_sorted_quantiles_equal_exact(spark):
 def test_group_key_first_digit_run(spark):
     df = spark.createDataFrame([("D17",), ("X1y2",), ("none",)], "id string")
     assert [r.g for r in df.select(group_key("id").alias("g")).collect()] == [17, 1, None]
+
+
+def test_auto_quantiles_split_hot_groups(spark):
+    from pickwise.functions.quantiles import grouped_quantiles
+    rng = np.random.default_rng(11)
+    rows = [(0, float(v)) for v in rng.normal(size=300)] + [(1, float(v)) for v in rng.normal(size=7)] + \
+           [(2, 5.0)] * 40
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    qs = {"q1": 0.25, "med": 0.5}
+    want = {r.k: (r.q1, r.med) for r in grouped_quantiles(df, ["k"], "v", qs, "exact").collect()}
+    got = {r.k: (r.q1, r.med) for r in grouped_quantiles(df, ["k"], "v", qs, "auto", max_group_rows=20).collect()}
+    assert want.keys() == got.keys()
+    for k in want:
+        assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(want[k], got[k]))
+    glob = grouped_quantiles(df, [], "v", {"med": 0.5}, "auto", max_group_rows=10).first().med
+    assert math.isclose(glob, float(np.median([v for _, v in rows])), rel_tol=1e-12)
