@@ -57,19 +57,29 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     return _sorted_quantiles(present.select(*keys, value), keys, value, qs)
 
 
+def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
+    """The groups with more than ``max_group_rows`` rows (a partial count
+    aggregate), or None when there is none. With no keys the whole table is
+    one group: an empty key table stands for it."""
+    if not keys:
+        big = df.limit(max_group_rows + 1).count() > max_group_rows
+        return df.sparkSession.range(1).select() if big else None
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > max_group_rows).select(*keys))
+    return hot if hot.limit(1).count() > 0 else None
+
+
 def _auto_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float],
                     max_group_rows: int) -> DataFrame:
     def exact(rows):
         grouped = rows.groupBy(*keys) if keys else rows
         return grouped.agg(*[quantile_expr(value, q, "exact").alias(n) for n, q in qs.items()])
 
-    if not keys:
-        n = df.agg(F.count(F.lit(1))).first()[0]
-        return exact(df) if n <= max_group_rows else _sorted_quantiles(df, keys, value, qs)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > max_group_rows).select(*keys))
-    if hot.limit(1).count() == 0:
+    hot = hot_groups(df, keys, max_group_rows)
+    if hot is None:
         return exact(df)
+    if not keys:
+        return _sorted_quantiles(df, keys, value, qs)
     hot = F.broadcast(hot)  # at most rows / max_group_rows keys
     cold_part = exact(df.join(hot, keys, "left_anti"))
     hot_part = _sorted_quantiles(df.join(hot, keys, "left_semi"), keys, value, qs)

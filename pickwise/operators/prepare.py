@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
-from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, hot_groups, quantile_expr
 from ..session import ensure_checkpoint_dir
 
 STRATEGIES = ("mean", "median", "zero")
@@ -144,6 +144,9 @@ def plant_cost_stats(costs: DataFrame, plant_key: str = "plant_id", cost: str =
     of the non-missing costs. Plants whose costs are all missing get null
     median/mean and count 0. Rows without a plant key are ignored."""
     keyed = costs.filter(F.col(plant_key).isNotNull()).select(plant_key, cost)
+    if quantile_method == "auto":
+        hot = hot_groups(keyed.filter(F.col(cost).isNotNull()), [plant_key])
+        quantile_method = "exact" if hot is None else "auto"
     if quantile_method in ("sorted", "auto"):
         basic = keyed.groupBy(plant_key).agg(F.avg(cost).alias("mean_cost"), F.count(cost).alias("n_costs"))
         med = grouped_quantiles(keyed, [plant_key], cost, {"median_cost": 0.5}, quantile_method)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_ratio
-from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, hot_groups, quantile_expr
 from ..functions.ranking import with_running_sums
 from .combine import COST, DEMAND, PLANT
 
@@ -69,6 +69,8 @@ def error_stats(errors: DataFrame, err: str = "Selection_Error", group: list[str
             F.max(e).alias("max"), regret_rmse_expr(e).alias("rmse"), F.count(e).alias("count")]
     src = errors.filter(e.isNotNull())
     keep = list(group or [])
+    if quantile_method == "auto" and hot_groups(src, keep) is None:
+        quantile_method = "exact"
     if quantile_method in ("exact", "approx"):
         aggs.append(quantile_expr(err, 0.5, quantile_method).alias("median"))
         out = src.groupBy(*keep).agg(*aggs) if keep else src.agg(*aggs)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, hot_groups, quantile_expr
 from .regret import STAT_NAMES, cumulative_rmse, error_stats, improvement_pct, selection_quality
 
 
@@ -17,6 +17,8 @@ def plant_performance(costs: DataFrame, plant: str = "plant_id", cost: str = "co
     """Per plant mean, median, sample std and count of its costs."""
     c = F.col(cost)
     keyed = costs.filter(F.col(plant).isNotNull())
+    if quantile_method == "auto" and hot_groups(keyed.filter(c.isNotNull()), [plant]) is None:
+        quantile_method = "exact"
     if quantile_method in ("exact", "approx"):
         return keyed.groupBy(plant).agg(
             F.avg(c).alias("mean_cost"), quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
@@ -162,8 +164,6 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
     out = LazySummaries({
         "cost_histogram": histogram(costs, cost, 50),
         "cost_mean": mean_line(costs, cost),
-        "boxplot_stats": boxplot_stats(costs, 10, plant, cost, quantile_method),
-        "plant_performance": plant_performance(costs, plant, cost, quantile_method),
         "train_bounds": prediction_bounds(scored_train),
         "train_residual_histogram": histogram(residuals(scored_train), "residual", 50),
         "test_bounds": prediction_bounds(scored_test),
@@ -174,6 +174,9 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
         "fold_mean": mean_line(folds, "Selection_Error"),
     })
     out.later("cumulative_rmse", lambda: cumulative_rmse(folds))
+    # These check for hot plants (a job) before they are planned.
+    out.later("boxplot_stats", lambda: boxplot_stats(costs, 10, plant, cost, quantile_method))
+    out.later("plant_performance", lambda: plant_performance(costs, plant, cost, quantile_method))
     if importances is not None:
         out["feature_importance"] = importances
     return out

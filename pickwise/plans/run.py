@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,10 +70,15 @@ class ModelResults:
     model: object
     test: object
     logo_folds: DataFrame
-    logo_stats: DataFrame
+    quantile_method: str = DEFAULT_METHOD
     leaderboard: DataFrame | None = None
     best_rmse: float | None = None
 
+    @cached_property
+    def logo_stats(self) -> DataFrame:
+        """A10 over the fold regrets (built on first access)."""
+        return error_stats(self.logo_folds, quantile_method=self.quantile_method)
+
 
 @dataclass
 class SelectionRun:
@@ -85,10 +91,18 @@ class SelectionRun:
     baseline: ModelResults
     optimized: ModelResults | None
     final: ModelResults
-    comparison: DataFrame
     summaries: dict
     timings: dict = field(default_factory=dict)
 
+    @cached_property
+    def comparison(self) -> DataFrame:
+        """A20 for baseline vs optimized, test and LOGO (built on first access)."""
+        errors = {("baseline", "test"): self.baseline.test.scenario, ("baseline", "logo"): self.baseline.logo_folds}
+        if self.optimized is not None:
+            errors[("optimized", "test")] = self.optimized.test.scenario
+            errors[("optimized", "logo")] = self.optimized.logo_folds
+        return model_comparison(errors)
+
 
 def _results(opts: SelectionOptions, params: dict, combined, train, test, features, prepared,
              folds: DataFrame | None = None) -> ModelResults:
@@ -98,7 +112,7 @@ def _results(opts: SelectionOptions, params: dict, combined, train, test, featur
         folds = logo_cv(opts.model_type, params, combined, features, opts.random_seed, opts.cv_n_folds,
                         opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds))
         folds = materialize(folds)
-    return ModelResults(params, model, ev, folds, error_stats(folds, quantile_method=opts.quantile_method))
+    return ModelResults(params, model, ev, folds, opts.quantile_method)
 
 
 def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, costs: DataFrame,
@@ -153,12 +167,6 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
         clock.lap("optimized")
     final = optimized if optimized is not None else baseline
 
-    errors = {("baseline", "test"): baseline.test.scenario, ("baseline", "logo"): baseline.logo_folds}
-    if optimized is not None:
-        errors[("optimized", "test")] = optimized.test.scenario
-        errors[("optimized", "logo")] = optimized.logo_folds
-    comparison = model_comparison(errors)
-
     scored_train = final.model.transform(train)
     imp = final.model.feature_importances()
     from ..operators.summaries import feature_importance
@@ -166,7 +174,7 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     summaries = summary_bundle(costs, scored_train, final.test.scored, final.test.scenario, final.logo_folds,
                                opts.plant_key, opts.cost, importances, opts.quantile_method)
     clock.lap("summaries")
-    run = SelectionRun(opts, ingest, prep, combined, train, test, baseline, optimized, final, comparison,
+    run = SelectionRun(opts, ingest, prep, combined, train, test, baseline, optimized, final,
                        summaries, clock.laps)
     if opts.output_dir:
         write_artifacts(spark, run)
