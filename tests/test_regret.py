@@ -69,3 +69,17 @@ def test_cumulative_rmse_last_equals_overall(spark):
     for i, r in enumerate(out, 1):
         want = math.sqrt(sum(e * e for _, e in errs[:i]) / i)
         assert math.isclose(r.cumulative_rmse, want)
+
+
+def test_scenario_and_plant_stats_partition_independent(spark):
+    from pickwise.operators.prepare import plant_cost_stats
+    rows = [(d, f"p{i}", float((d * 7 + i * 3) % 11), float((d * 5 + i * 2) % 13))
+            for d in range(30) for i in range(6)]
+    base = scored(spark, rows)
+    outs, stats = [], []
+    for parts in (1, 4, 17):
+        df = base.repartition(parts)
+        outs.append(sorted(tuple(r) for r in regret.scenario_table(df).collect()))
+        stats.append(sorted(tuple(r) for r in plant_cost_stats(df, "Plant_ID", "Cost").collect()))
+    assert outs[0] == outs[1] == outs[2]
+    assert stats[0] == stats[1] == stats[2]
