@@ -31,9 +31,13 @@ def split_cut(groups: DataFrame, key: str, test_fraction: float, seed: int) -> D
 
 
 def flag_test(df: DataFrame, cut: DataFrame, key: str, seed: int, out: str = "is_test") -> DataFrame:
-    """Add ``out``: true for rows whose group is at or before the cut."""
-    ch = cut.select("__h").scalar()
-    ck = cut.select(key).scalar()
+    """Add ``out``: true for rows whose group is at or before the cut. The cut
+    is one row, computed once; rows are compared with it as literals, so
+    later jobs on either side of the split do not recompute it."""
+    row = cut.first()
+    if row is None:
+        return df.withColumn(out, F.lit(False))
+    ch, ck = F.lit(row["__h"]), F.lit(row[key]).cast(df.schema[key].dataType)
     h = stable_hash(key, seed)
     before = (h < ch) | ((h == ch) & (F.col(key) <= ck))
     return df.withColumn(out, F.coalesce(before, F.lit(False)))
