@@ -327,7 +327,9 @@ def _features(df: DataFrame) -> list[str]:
 
 
 def _train_test(spark, sf):
-    comb = cv.materialize(demand_split(combined(spark, sf, reuse=True)))
+    # The flag compares each row with a literal cut, so the split is a cheap
+    # projection of the checkpointed combined table and is not written again.
+    comb = demand_split(combined(spark, sf, reuse=True))
     return comb.filter(~F.col("is_test")).drop("is_test"), comb.filter(F.col("is_test")).drop("is_test")
 
 

@@ -25,7 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    # Hash-partition the line table by the join key: at scale this is the
+    # exchange the sort-merge join with orders needs anyway, and it spreads a
+    # source that arrives as few row groups over all cores.
+    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice")
+          .repartition("l_orderkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pairs = (li.join(orders, li.l_orderkey == orders.o_orderkey)
              .groupBy(F.col("o_custkey").alias("demand_id"), F.col("l_suppkey").alias("plant_id"))
