@@ -190,6 +190,18 @@ def q_logo_folds(spark, sf):
     return split.logo_folds(combined(spark, sf, reuse=True), None)
 
 
+def q_logo_first_folds(spark, sf):
+    """L2: the first 100 LOGO folds (the reference's tuning fold count)."""
+    return split.logo_folds(combined(spark, sf, reuse=True), 100)
+
+
+def q_mean_lines(spark, sf):
+    """The mean reference lines of the cost and regret views."""
+    costs = summaries.mean_line(fx.fixture_costs(spark, sf), "cost").select(F.col("mean").alias("mean_cost"))
+    regret_mean = summaries.mean_line(scenario(spark, sf), "Selection_Error").select("mean").scalar()
+    return rounded(costs.select("mean_cost", regret_mean.alias("mean_regret")))
+
+
 def q_scenario_table(spark, sf):
     return rounded(scenario(spark, sf))
 
@@ -398,11 +410,13 @@ QUERIES = {
     "group_split": q_group_split,
     "split_counts": q_split_counts,
     "logo_folds": q_logo_folds,
+    "logo_first_folds": q_logo_first_folds,
     "scenario_table": q_scenario_table,
     "selection_regret": q_selection_regret,
     "error_stats": q_error_stats,
     "regret_rmse": q_regret_rmse,
     "selection_quality": q_selection_quality,
+    "mean_lines": q_mean_lines,
     "cumulative_rmse": q_cumulative_rmse,
     "leaderboard_rank": q_leaderboard_rank,
     "leaderboard_top10": q_leaderboard_top10,

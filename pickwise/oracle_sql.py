@@ -233,6 +233,11 @@ FROM combined"""
 FROM combined c JOIN split s ON c.Demand_ID = s.Demand_ID GROUP BY s.is_test"""
     q["logo_folds"] = p + """SELECT CAST(row_number() OVER (ORDER BY Demand_ID) AS INTEGER) AS Fold,
   Demand_ID AS "Group" FROM grp"""
+    q["logo_first_folds"] = p + """SELECT Fold, "Group" FROM (
+  SELECT CAST(row_number() OVER (ORDER BY Demand_ID) AS INTEGER) AS Fold, Demand_ID AS "Group" FROM grp)
+WHERE Fold <= 100"""
+    q["mean_lines"] = p + """SELECT round((SELECT avg(cost) FROM fx_costs), 6) AS mean_cost,
+  round((SELECT avg(Model_Selected_Cost - Oracle_Cost) FROM scen), 6) AS mean_regret"""
     q["scenario_table"] = p + f"SELECT {SCEN_COLS} FROM scen"
     q["selection_regret"] = p + "SELECT Demand_ID, round(Model_Selected_Cost - Oracle_Cost, 6) AS Selection_Error FROM scen"
     q["error_stats"] = p + ", se AS (SELECT Model_Selected_Cost - Oracle_Cost AS Selection_Error FROM scen)\n" + _stats("se")

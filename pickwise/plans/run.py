@@ -22,7 +22,7 @@ from ..operators.split import group_split
 from ..operators.summaries import model_comparison, summary_bundle
 from ..sources import sinks
 from .cv import evaluate, gram_folds, grid_search, logo_cv, materialize
-from .models import DEFAULT_GRIDS, DEFAULT_PARAMS, check_model_type, fit_model
+from .models import DEFAULT_GRIDS, DEFAULT_PARAMS, check_model_type, fit_model, model_description, model_name
 
 
 @dataclass
@@ -204,6 +204,9 @@ def write_artifacts(spark: SparkSession, run: SelectionRun) -> None:
     if f.leaderboard is not None:
         sinks.write_table(f.leaderboard, f"{out}/results/hyperparameter_leaderboard", "csv")
     sinks.write_table(run.comparison, f"{out}/results/model_comparison", "csv")
+    sinks.write_table(sinks.report_header_frame(spark, o.model_type, model_name(o.model_type),
+                                                model_description(o.model_type), run.baseline.params, f.params,
+                                                o.hyperparam_enabled), f"{out}/results/report_header", "json")
     f.model.save(spark, f"{out}/artifacts/final_model")
     run.prep.save(f"{out}/artifacts/preprocessor")
     sinks.write_table(sinks.feature_names_frame(spark, run.prep.demand_features, run.prep.plant_features),

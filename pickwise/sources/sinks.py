@@ -46,5 +46,15 @@ def run_metadata_frame(spark: SparkSession, model_type: str, random_seed: int, f
         "logo_cv_rmse double, n_logo_folds bigint, hyperparameter_optimization_enabled boolean")
 
 
+def report_header_frame(spark: SparkSession, model_type: str, model_name: str, description: str,
+                        baseline_params: dict, final_params: dict, tuning_enabled: bool) -> DataFrame:
+    """The report's header (model name/description M5, parameters, date) as one row."""
+    return spark.createDataFrame(
+        [(model_type, model_name, description, datetime.now(timezone.utc).isoformat(),
+          json.dumps(baseline_params), json.dumps(final_params), bool(tuning_enabled))],
+        "model_type string, model_name string, description string, generated string, baseline_params string, "
+        "final_params string, hyperparameter_optimization_enabled boolean")
+
+
 def append_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").json(path)

@@ -22,6 +22,8 @@ def test_run_writes_and_reloads_artifacts(spark):
     meta = spark.read.json(f"{out}/results/run_metadata").first()
     assert meta.model_type == "lasso" and meta.n_logo_folds == 20
     assert json.loads(meta.final_params)["alpha"] in (0.1, 1.0)
+    head = spark.read.json(f"{out}/results/report_header").first()
+    assert head.model_name == "Lasso Regression" and head.description.startswith("Linear regression")
     folds = spark.read.option("header", True).csv(f"{out}/results/logo_cv_folds")
     assert folds.count() == 20
     board = spark.read.option("header", True).csv(f"{out}/results/hyperparameter_leaderboard")
