@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, hot_groups, quantile_expr
+from ..functions.reuse import reusable
 from .regret import STAT_NAMES, cumulative_rmse, error_stats, improvement_pct, selection_quality
 
 
@@ -41,6 +42,9 @@ def boxplot_stats(costs: DataFrame, k: int = 10, plant: str = "plant_id", cost:
     """Box-plot numbers for the ``k`` cheapest plants: quartiles
     (linear), whiskers = most extreme costs within 1.5 IQR of the box, and
     the number of outliers beyond them."""
+    # Read five times below (hot checks, top-k, quartiles, fences): write the
+    # two needed columns once unless they already come from a written table.
+    costs = reusable(costs.select(plant, cost))
     top = cheapest_plants(costs, k, plant, cost, quantile_method).select(plant)
     rows = costs.filter(F.col(cost).isNotNull()).join(F.broadcast(top), plant, "left_semi")
     q = grouped_quantiles(rows, [plant], cost, {"q1": 0.25, "median_cost": 0.5, "q3": 0.75}, quantile_method)
