@@ -17,10 +17,12 @@ def serve_stream(demands: DataFrame, model, prep, plants: DataFrame, output_path
     """Start a streaming query that appends the best plant of every new demand
     to ``output_path``. ``checkpoint`` is the query's progress folder (a
     shared folder on a cluster), so a restarted query resumes where it
-    stopped; each micro-batch is written once per batch id."""
+    stopped; each micro-batch owns the folder ``batch=<id>``."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         picks = best_plant(model, prep, batch, plants, candidates=candidates, plant_info=plant_info)
-        picks.write.mode("append").format(fmt).save(f"{output_path}/batch={batch_id}")
+        # A replayed batch (after a failure) rewrites its own folder: the sink
+        # is idempotent per batch id, so no pick is written twice.
+        picks.write.mode("overwrite").format(fmt).save(f"{output_path}/batch={batch_id}")
 
     writer = demands.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
