@@ -90,8 +90,11 @@ def _sorted_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     # Rows of a group are contiguous in the global (keys, value) order; a group
     # starts at the smallest global position it holds. Copies of one value are
     # interchangeable, so a tie-break on the input position spreads a value
-    # that fills a third of the table over many range partitions.
-    df = df.withColumn("__q_tb", F.monotonically_increasing_id())
+    # that fills a third of the table over many range partitions. The input
+    # is first made a written table (unless it is a file scan or checkpoint),
+    # so positions - and the tie-break - are the same on any task retry.
+    from .reuse import reusable
+    df = reusable(df.select(*keys, value)).withColumn("__q_tb", F.monotonically_increasing_id())
     indexed = with_global_index(df, [*keys, value, "__q_tb"], "__q_pos")
     grouped = indexed.groupBy(*keys) if keys else indexed
     spans = grouped.agg(F.min("__q_pos").alias("__q_first"), F.count(F.lit(1)).alias("__q_n"))
