@@ -250,6 +250,8 @@ def _two_predictors(spark, sf):
     opt = segment_predicted(spark, sf)
     flags = split.split_groups(base, TEST_FRACTION, SEED)
     test_ids = flags.filter("is_test").select("Demand_ID")
+    # Each scenario table feeds two error tables; Spark reuses the identical
+    # exchanges inside one query, so nothing is written in between.
     sb, so = regret.scenario_table(base), regret.scenario_table(opt)
     return {("baseline", "test"): sb.join(test_ids, "Demand_ID", "left_semi"),
             ("baseline", "all"): sb,

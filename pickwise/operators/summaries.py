@@ -70,11 +70,14 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     bounds = present.agg(F.min("__v").alias("mn"), F.max("__v").alias("mx")).select(
         F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    # Two numbers, computed once: as literals they keep the bin expression
+    # free of subqueries that would each recompute the input.
+    b = bounds.first()
+    if b is None or b["lo"] is None:
+        return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
+    lo, hi = F.lit(float(b["lo"])), F.lit(float(b["hi"]))
     n = F.lit(bins)
     idx = F.least(F.floor((F.col("__v") - lo) / (hi - lo) * n), n - 1).cast("int")
-    # Project the bin first: the bounds are scalar subqueries, which may not
-    # sit inside a grouping expression.
     counts = present.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -83,9 +86,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
         (F.col("bin").cast("double") * ((hi - lo) / n) + lo).alias("bin_lo"),
         F.when(F.col("bin") == bins - 1, hi)
          .otherwise((F.col("bin") + 1).cast("double") * ((hi - lo) / n) + lo).alias("bin_hi"))
-    # Only the bin frame is defined when there is no data (bounds null).
-    return (edges.filter(F.col("bin_lo").isNotNull())
-            .join(F.broadcast(counts), "bin", "left")
+    return (edges.join(F.broadcast(counts), "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce(F.col("n"), F.lit(0)).alias("count")))
 
 
@@ -141,7 +142,8 @@ def feature_importance(importances: list[float], names: list[str], spark, k: int
 
 
 class LazySummaries(dict):
-    """A dict whose entries may be built on first access."""
+    """A dict whose entries may be built on first access; ``pending()`` lists
+    the entries not built yet (they are not in ``keys()`` until then)."""
 
     def __init__(self, *a, **kw):
         super().__init__(*a, **kw)
@@ -166,19 +168,20 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
     """Every summary as a lazy DataFrame (the cumulative RMSE, which
     needs a sort written to the checkpoint folder, is built on first access)."""
     out = LazySummaries({
-        "cost_histogram": histogram(costs, cost, 50),
         "cost_mean": mean_line(costs, cost),
         "train_bounds": prediction_bounds(scored_train),
-        "train_residual_histogram": histogram(residuals(scored_train), "residual", 50),
         "test_bounds": prediction_bounds(scored_test),
-        "test_residual_histogram": histogram(residuals(scored_test), "residual", 50),
-        "regret_histogram": histogram(scenario, "Selection_Error", 30),
         "regret_mean": mean_line(scenario, "Selection_Error"),
         "selection_quality": selection_quality(scenario),
         "fold_mean": mean_line(folds, "Selection_Error"),
     })
+    # Entries that run a job while they are planned (histogram bounds, hot-plant
+    # checks, the sort behind running sums) are built on first access.
+    out.later("cost_histogram", lambda: histogram(costs, cost, 50))
+    out.later("train_residual_histogram", lambda: histogram(residuals(scored_train), "residual", 50))
+    out.later("test_residual_histogram", lambda: histogram(residuals(scored_test), "residual", 50))
+    out.later("regret_histogram", lambda: histogram(scenario, "Selection_Error", 30))
     out.later("cumulative_rmse", lambda: cumulative_rmse(folds))
-    # These check for hot plants (a job) before they are planned.
     out.later("boxplot_stats", lambda: boxplot_stats(costs, 10, plant, cost, quantile_method))
     out.later("plant_performance", lambda: plant_performance(costs, plant, cost, quantile_method))
     if importances is not None:
