@@ -44,3 +44,19 @@ def test_run_writes_and_reloads_artifacts(spark):
     cum = run.summaries["cumulative_rmse"].orderBy("Fold").collect()
     last = run.final.logo_stats.first()["rmse"]
     assert math.isclose(cum[-1].cumulative_rmse, last, rel_tol=1e-9)
+
+
+def test_forest_run_end_to_end(spark):
+    d, p, c = catalog.inputs(spark, SF)
+    run = run_selection(spark, d, p, c, SelectionOptions(
+        model_type="random_forest", model_params={"n_estimators": 5, "max_depth": 3, "min_samples_split": 2},
+        tuning_grid={"n_estimators": [3, 5], "max_depth": [2]}, cv_n_folds=3, hyperparam_cv_folds=2,
+        parallelism=3))
+    board = run.final.leaderboard.orderBy("rank").collect()
+    assert [r["rank"] for r in board] == [1, 2] and all(r.n_folds == 2 for r in board)
+    assert run.final.params["max_depth"] == 2
+    folds = run.final.logo_folds.orderBy("Fold").collect()
+    assert [r.Fold for r in folds] == [1, 2, 3] and all(r.Selection_Error >= 0 for r in folds)
+    imp = run.summaries["feature_importance"].collect()
+    assert len(imp) == 8 and math.isclose(sum(r.importance for r in imp), 1.0, rel_tol=1e-9)
+    assert run.summaries["regret_histogram"].agg(F.sum("count")).first()[0] == run.final.test.scenario.count()
