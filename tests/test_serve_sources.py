@@ -2,7 +2,6 @@ import math
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from pickwise.operators import serve
 from pickwise.operators.combine import combine, first_per_key, orphan_counts

@@ -1,7 +1,6 @@
 import math
 import tempfile
 
-from pyspark.sql import functions as F
 
 from pickwise.functions.evaluator import RegretEvaluator
 from pickwise.operators.prepare import Preprocessor
