@@ -138,11 +138,13 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
 
-    # Lasso LOGO/grid share one set of group statistics per fold count.
+    # Lasso LOGO and grid share one set of group statistics; only the fold
+    # table differs between the LOGO and the tuning fold counts.
     prepared = {}
     if opts.model_type == "lasso" and opts.fold_mode == "logo":
         for nf in {opts.cv_n_folds, opts.hyperparam_cv_folds}:
-            prepared[nf] = gram_folds(combined, features, nf)
+            first = next(iter(prepared.values()), None)
+            prepared[nf] = gram_folds(combined, features, nf, like=first)
     clock.lap("group_statistics")
     baseline = _results(opts, dict(opts.model_params), combined, train, test, features, prepared)
     clock.lap("baseline")
