@@ -90,3 +90,22 @@ def test_auto_quantiles_split_hot_groups(spark):
         assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(want[k], got[k]))
     glob = grouped_quantiles(df, [], "v", {"med": 0.5}, "auto", max_group_rows=10).first().med
     assert math.isclose(glob, float(np.median([v for _, v in rows])), rel_tol=1e-12)
+
+
+def test_median_impute_same_on_every_quantile_path(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, None if i % 4 == 0 else float(v), float(w)) for i, (v, w) in enumerate(rng.normal(size=(60, 2)))]
+    df = spark.createDataFrame(rows, "k int, DF1 double, DF2 double")
+    want = {r.k: (r.DF1, r.DF2) for r in prep.impute(df, ["DF1", "DF2"], "median", "exact").collect()}
+    for method in ("sorted", "auto"):
+        got = {r.k: (r.DF1, r.DF2) for r in prep.impute(df, ["DF1", "DF2"], "median", method).collect()}
+        assert all(math.isclose(got[k][j], want[k][j], rel_tol=1e-12) for k in want for j in (0, 1))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from pickwise.functions.quantiles import grouped_quantiles
+    vals = [(int(i % 3), float(v)) for i, v in enumerate(np.random.default_rng(9).normal(size=3000))]
+    df = spark.createDataFrame(vals, "k int, v double")
+    exact = {r.k: r.m for r in grouped_quantiles(df, ["k"], "v", {"m": 0.5}, "exact").collect()}
+    approx = {r.k: r.m for r in grouped_quantiles(df, ["k"], "v", {"m": 0.5}, "approx").collect()}
+    assert exact.keys() == approx.keys() and all(abs(exact[k] - approx[k]) < 0.05 for k in exact)
