@@ -163,21 +163,18 @@ def signature_batches(bands: int, rows: int, size: int, weights: str):
 
 
 def content_keys(docs: DataFrame) -> DataFrame:
-    """All columns of docs with k1, k2 (the 128-bit key of the words)."""
+    """All columns of docs with __k1, __k2 (the 128-bit key of the words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ByteHash()
         for b in batches:
-            at = b.schema.get_field_index("text")
-            k1, k2 = [], []
-            for s in slices(b.column(at)):
-                _, _, _, _, key = shingle_sets(s, hasher, 1 << 30)
-                k1.append(key[0].view(np.int64))
-                k2.append(key[1].view(np.int64))
-            z = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(k1 + z)), pa.array(np.concatenate(k2 + z))],
-                                             names=[*b.schema.names, "k1", "k2"])
+            keys: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            for s in slices(b.column("text")):
+                for own, key in zip(keys, shingle_sets(s, hasher, 1 << 30)[4]):
+                    own.append(key.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(np.concatenate(k)) for k in keys)],
+                                             names=[*b.schema.names, "__k1", "__k2"])
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{schema}, k1 long, k2 long")
+    return docs.mapInArrow(run, f"{schema}, __k1 long, __k2 long")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -313,8 +310,9 @@ def _verify(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, weigh
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs whose text stays: one document of each class."""
+    no_id = F.lit(-(1 << 63))
     kept = near_duplicates(docs, **options).filter("is_kept").select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("kd"), "k1", "k2")
+        F.coalesce("doc_id", no_id).alias("__kd"), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
     kept = materialize(kept.distinct())
-    own = content_keys(docs).withColumn("kd", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    return own.join(kept, ["kd", "k1", "k2"], "left_semi").dropDuplicates(["kd", "k1", "k2"]).select(*docs.columns)
+    own = content_keys(docs).withColumn("__kd", F.coalesce("doc_id", no_id))
+    return own.join(kept, ["__kd", "__k1", "__k2"], "left_semi").dropDuplicates(["__kd", "__k1", "__k2"]).select(*docs.columns)

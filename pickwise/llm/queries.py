@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
+from . import line_dedup, minhash, mixing, packing, quality_rules, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,38 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "class_size", "n_links", "is_kept")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that ten or more sources share."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "removed_chars", "text")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, tokeniser fertility and verdict of every document."""
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of sources takes."""
+    return mixing.mix_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in sequences of 4096 ids."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_mixing": op8_mixing,
+    "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": sql.OP2,
+    "op8_mixing": sql.OP8,
+}
