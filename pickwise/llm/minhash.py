@@ -300,7 +300,8 @@ def _verify(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, weigh
     pairs = materialize(pairs)
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialize(used.join(keys, "node"))
-    packed = packed_texts(docs).join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "packed")
+    # Copies are reduced before they are shuffled, so a hot group of them stays small.
+    packed = packed_texts(docs).dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("node", "packed")
     packed = materialize(packed)
     a = packed.select(F.col("node").alias("a"), F.col("packed").alias("text_a"))
     b = packed.select(F.col("node").alias("b"), F.col("packed").alias("text_b"))
