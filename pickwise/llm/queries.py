@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, mixing, packing, quality_rules, sql
+from . import ann, line_dedup, minhash, mixing, packing, quality_rules, sql, substring_dedup, url_lists
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +18,71 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "class_size", "n_links", "is_kept")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest other vectors of every vec_id divisible by 100."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that ten or more sources share."""
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "removed_chars", "text")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of all documents that repeats an earlier ranked one, with its
+    offsets and the document that keeps it."""
+    return substring_dedup.repeated_spans(_table(spark, sf_dir, "documents")).drop("row_id")
+
+
+#: Dates that the pages table lacks are derived from hashes, within a year from here (2024-01-01 UTC).
+YEAR_START, YEAR_SECONDS = 1704067200, 365 * 86400
+
+
+def _hashed(name, seed: str, modulus: int):
+    """A number below modulus from 52 bits of md5."""
+    bits = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}"))), 1, 13), 16, 10).cast("long")
+    return bits % modulus
+
+
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """page_id, url and a fetch time derived from the id."""
+    at = F.lit(YEAR_START) + _hashed(F.col("page_id").cast("string"), "fetch", YEAR_SECONDS)
+    return pages.select("page_id", "url", F.timestamp_seconds(at).alias("fetched"))
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Three list logs over all hosts, domains and first path segments of pages:
+    hosts come on the list and go, domains stay, prefixes come, go and come back."""
+    host = url_lists.host_of(F.col("url"))
+    hosts = pages.select(host.alias("key")).filter("key is not null").distinct()
+    domains = hosts.select(F.regexp_extract("key", r"([^.]+\.[^.]+)$", 1).alias("key")).filter("key <> ''").distinct()
+    first = F.regexp_extract(url_lists.path_of(F.col("url")), "^/([^/]+)", 1)
+    paths = pages.select(F.when(first != "", F.concat(host, F.lit("/"), first)).alias("key")).filter("key is not null").distinct()
+
+    def log(keys: DataFrame, name: str, kind: str, *steps: tuple[str, str, int]) -> DataFrame:
+        at = F.lit(YEAR_START).cast("long")
+        entries = []
+        for action, seed, modulus in steps:
+            at = at + _hashed(F.col("key"), seed, modulus)
+            entries.append(F.struct(F.lit(action).alias("action"), F.timestamp_seconds(at).alias("at")))
+        return keys.select(F.lit(name).alias("list_name"), F.lit(kind).alias("kind"), "key", F.explode(F.array(*entries)).alias("e")) \
+            .select("list_name", "kind", "key", "e.*")
+
+    return (log(hosts, "malware", "host", ("add", "a", YEAR_SECONDS), ("remove", "r", YEAR_SECONDS // 4))
+            .unionByName(log(domains, "adult", "domain", ("add", "a", YEAR_SECONDS)))
+            .unionByName(log(paths, "spam", "prefix", ("add", "a", YEAR_SECONDS // 2), ("remove", "r", YEAR_SECONDS // 4),
+                             ("add", "b", YEAR_SECONDS // 4))))
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the lists that held its url when it was fetched."""
+    pages = _table(spark, sf_dir, "pages")
+    found = url_lists.blocked_lists(dated_captures(pages), dated_lists(pages))
+    return found.select("page_id", "url", F.unix_seconds("fetched").alias("fetched_s"),
+                        F.array_join("blocked_by", ",").alias("blocked_by"), "allowed")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokeniser fertility and verdict of every document."""
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -41,7 +100,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_url_lists": op5_url_lists,
     "op6_quality_rules": op6_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
@@ -51,5 +113,7 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": sql.OP2,
+    "op4_substring_dedup": sql.OP4,
+    "op5_url_lists": sql.OP5,
     "op8_mixing": sql.OP8,
 }

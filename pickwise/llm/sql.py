@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries that SQL can express (same column names and rows)."""
 
-from . import line_dedup, mixing
+from . import line_dedup, mixing, substring_dedup, url_lists
 
 OP2 = f"""
 WITH docs AS MATERIALIZED (
@@ -61,3 +61,59 @@ SELECT doc_id, size, source_size, target,
             THEN least(size, floor((rest - (upto - words)) / docs)) ELSE 0 END AS BIGINT) AS taken
 FROM ranked
 """
+
+OP4 = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(range(len(a))) AS pos, unnest(a) AS line FROM (SELECT r, doc_id, string_split(text, chr(10)) AS a FROM docs)
+), placed AS (
+  SELECT r, doc_id, line, length(line) AS length,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         regexp_extract_all(line, '[^\\s]+') AS w
+  FROM lines
+), units AS (
+  SELECT r, doc_id, start, length, len(w) AS words, lower(array_to_string(w, ' ')) AS unit FROM placed WHERE len(w) >= {substring_dedup.MIN_WORDS}
+), ranked AS (
+  SELECT *, row_number() OVER o AS nth, count(*) OVER (PARTITION BY unit) AS occurrences,
+         first_value(doc_id) OVER o AS first_doc_id, first_value(start) OVER o AS first_start
+  FROM units WINDOW o AS (PARTITION BY unit ORDER BY doc_id NULLS LAST, r, start)
+)
+SELECT doc_id, CAST(start AS BIGINT) AS start, length, CAST(words AS BIGINT) AS words, first_doc_id,
+       CAST(first_start AS BIGINT) AS first_start, occurrences
+FROM ranked WHERE nth > 1
+"""
+
+_HASH = "(CAST(('0x' || substr(md5({0} || ':{1}'), 1, 13)) AS BIGINT) % {2})"
+_Y = 365 * 86400
+OP5 = f"""
+WITH pages2 AS (
+  SELECT page_id, url, 1704067200 + {_HASH.format("CAST(page_id AS VARCHAR)", "fetch", _Y)} AS f,
+         nullif(regexp_replace(lower(regexp_extract(url, '(?i)^\\s*(?:[a-z][a-z0-9+.\\-]*:)?//(?:[^/?#@]*@)?([^/?#:\\s]+)', 1)), '\\.+$', ''), '') AS host,
+         regexp_extract(url, '(?i)^\\s*(?:[a-z][a-z0-9+.\\-]*:)?//[^/?#\\s]+(/[^?#\\s]*)', 1) AS path
+  FROM pages
+), hosts AS (SELECT DISTINCT host AS key FROM pages2 WHERE host IS NOT NULL
+), domains AS (SELECT DISTINCT regexp_extract(key, '([^.]+\\.[^.]+)$', 1) AS key FROM hosts
+), paths AS (SELECT DISTINCT host || '/' || regexp_extract(path, '^/([^/]+)', 1) AS key FROM pages2
+  WHERE host IS NOT NULL AND regexp_extract(path, '^/([^/]+)', 1) <> ''
+), valid AS (
+  SELECT 'malware' AS l, 'h:' || key AS key, 1704067200 + {_HASH.format("key", "a", _Y)} AS s,
+         1704067200 + {_HASH.format("key", "a", _Y)} + {_HASH.format("key", "r", _Y // 4)} AS e FROM hosts
+  UNION ALL SELECT 'adult', 'd:' || key, 1704067200 + {_HASH.format("key", "a", _Y)}, 9999999999 FROM domains WHERE key <> ''
+  UNION ALL SELECT 'spam', 'p:' || key, 1704067200 + {_HASH.format("key", "a", _Y // 2)},
+         1704067200 + {_HASH.format("key", "a", _Y // 2)} + {_HASH.format("key", "r", _Y // 4)} FROM paths
+  UNION ALL SELECT 'spam', 'p:' || key, 1704067200 + {_HASH.format("key", "a", _Y // 2)} + {_HASH.format("key", "r", _Y // 4)}
+         + {_HASH.format("key", "b", _Y // 4)}, 9999999999 FROM paths
+), numbered AS MATERIALIZED (SELECT row_number() OVER () AS n, * FROM pages2
+), keys AS (
+  SELECT n, f, 'h:' || host AS key FROM numbered
+  UNION ALL SELECT n, f, 'd:' || array_to_string(string_split(host, '.')[i:], '.')
+    FROM (SELECT n, f, host, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i FROM numbered)
+  UNION ALL SELECT n, f, 'p:' || host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda x: x <> '')[:i], '/')
+    FROM (SELECT n, f, host, path, unnest(range(1, 1 + least({url_lists.PREFIX_SEGMENTS}, len(list_filter(string_split(path, '/'), lambda x: x <> ''))))) AS i FROM numbered)
+), hits AS (
+  SELECT n, string_agg(DISTINCT l, ',' ORDER BY l) AS blocked_by FROM keys JOIN valid ON keys.key = valid.key AND f >= s AND f < e GROUP BY n
+)
+SELECT page_id, url, f AS fetched_s, coalesce(blocked_by, '') AS blocked_by, blocked_by IS NULL AS allowed
+FROM numbered LEFT JOIN hits USING (n)
+"""
