@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, minhash, mixing, packing, quality_rules, sql, substring_dedup, url_lists
+from . import ann, line_dedup, minhash, mixing, packing, quality_model, quality_rules, sql, substring_dedup, url_lists
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "removed_chars", "text")
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality probability of every document, learned outside the held-out fold."""
+    return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of all documents that repeats an earlier ranked one, with its
     offsets and the document that keeps it."""
@@ -102,6 +107,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality_model": op3_quality_model,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_url_lists": op5_url_lists,
     "op6_quality_rules": op6_quality_rules,
