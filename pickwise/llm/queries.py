@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, minhash, mixing, packing, quality_model, quality_rules, sql, substring_dedup, url_lists
+from . import ann, line_dedup, minhash, mixing, ngram_lm, packing, quality_model, quality_rules, sql
+from . import substring_dedup, url_lists
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learned outside the held-out fold."""
+    return ngram_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix of sources takes."""
     return mixing.mix_documents(_table(spark, sf_dir, "documents")).select(
@@ -111,6 +117,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_url_lists": op5_url_lists,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ngram_lm": op7_ngram_lm,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
