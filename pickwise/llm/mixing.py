@@ -9,9 +9,10 @@ target is a weighted sample without replacement: document i gets the key
 taken in order of the key until the prefix sum of their sizes reaches the rest;
 the document in which the budget ends is taken up to the budget.
 
-The prefix sum never sorts a whole source in one task: keys fall into buckets of
-about ``per_bucket`` documents, bucket sums are prefix-summed per source, and
-only the documents of the one bucket in which the budget ends are ordered.
+The prefix sum never sorts a whole source in one task: the keys of a source of n
+documents fall into about sqrt(n) buckets, bucket sums are prefix-summed per
+source, and only the documents of the one bucket in which the budget ends (about
+sqrt(n) again) are ordered.
 The decision is one row per source (epochs, last bucket, last key, words of the
 last document), so what is taken is found by joining documents with that table.
 
@@ -32,8 +33,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WEIGHTS = (5, 2, 1)
 SEED = 8
-#: Documents of one source per key bucket (only one bucket of a source is sorted).
-PER_BUCKET = 20_000
 
 
 def size_of(text: Column) -> Column:
@@ -85,15 +84,14 @@ def _bucket(key: Column, n: Column) -> Column:
     return F.least(n - 1, F.floor((F.lit(1.0) - F.exp(-key)) * n)).cast("long")
 
 
-def decisions(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
-              per_bucket: int = PER_BUCKET) -> DataFrame:
+def decisions(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """One row per source: its target, the complete epochs, and up to which
     bucket and key the fraction goes."""
     src = materialize(source_targets(base, weights, share, cap))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     src = (src.withColumn("epochs", epochs)
            .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-           .withColumn("n_buckets", F.ceil(F.col("n_docs") / per_bucket).cast("long")))
+           .withColumn("n_buckets", F.ceil(F.sqrt("n_docs")).cast("long")))
     own = src.select(F.col("source").alias("s"), "rest", "n_buckets")
     rows = base.join(own, F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", _bucket(F.col("es_key"), F.col("n_buckets")))
     hist = rows.groupBy("source", "rest", "bucket").agg(F.sum("size").alias("words"))
