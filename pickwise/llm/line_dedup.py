@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.reuse import materialize
+from .text import lookup_table
 
 #: Distinct sites from which a line is boilerplate.
 MIN_SITES = 10
@@ -60,7 +61,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MA
     """h1, h2 of the lines that at least min_sites distinct sites have."""
     seen = lines.filter("chars > 0")
     spread = seen.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"))
-    spread = materialize(spread.filter(F.col("sites") >= min_sites * (1 - margin)))
+    spread = lookup_table(spread.filter(F.col("sites") >= min_sites * (1 - margin)))
     sure = spread.filter(F.col("sites") > min_sites * (1 + margin)).select("h1", "h2")
     near = spread.filter(F.col("sites") <= min_sites * (1 + margin)).select("h1", "h2")
     exact = seen.join(near, ["h1", "h2"]).select("h1", "h2", "site").distinct() \
@@ -74,15 +75,15 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
 
     ``n_removed`` is 0 in a document that is left whole."""
     lines = materialize(line_table(docs))
-    bad = materialize(boilerplate(lines, min_sites, margin, lg_k))
+    bad = lookup_table(boilerplate(lines, min_sites, margin, lg_k))
     hit = lines.join(bad, ["h1", "h2"]).filter("chars > 0").select("kd", "kt", "ku").distinct()
     # The lines of the documents with a hit, in order, each with its flag.
-    flagged = lines.join(materialize(hit), ["kd", "kt", "ku"]).join(bad.withColumn("bad", F.lit(True)), ["h1", "h2"], "left")
+    flagged = lines.join(lookup_table(hit), ["kd", "kt", "ku"]).join(bad.withColumn("bad", F.lit(True)), ["h1", "h2"], "left")
     flag = F.struct("pos", F.coalesce("bad", F.lit(False)).alias("bad"), "chars")
     per_doc = flagged.groupBy("kd", "kt", "ku").agg(F.sort_array(F.collect_set(flag)).alias("flags"))
     removed = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + F.when(x.bad, x.chars).otherwise(0))
     whole = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + x.chars)
-    per_doc = materialize(per_doc.withColumn("removed_chars", removed).filter(
+    per_doc = lookup_table(per_doc.withColumn("removed_chars", removed).filter(
         F.col("removed_chars") <= F.lit(max_share) * whole).select("kd", "kt", "ku", "removed_chars", F.transform("flags", lambda x: x.bad).alias("bad")))
     mine = [c for c in docs.columns if c not in ("n_lines", "n_removed", "removed_chars")]
     own = docs.select(F.struct(*mine).alias("row"), "text", *_key(docs)).join(per_doc, ["kd", "kt", "ku"], "left")

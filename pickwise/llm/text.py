@@ -14,6 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from ..functions.reuse import materialize
 
 #: Bytes of text handled at once (a longer document is a slice of its own).
 SLICE_BYTES = 2 << 20
@@ -21,6 +24,13 @@ _P = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def lookup_table(df: DataFrame) -> DataFrame:
+    """A written table to join large tables with. It forgets how its rows were
+    dealt, so that a join deals both sides and adaptive execution can
+    broadcast it if it is small, or split the other side at a hot key."""
+    return materialize(df.hint("rebalance"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser (bijective 64-bit mixing)."""
     x = np.asarray(x, dtype=np.uint64)
