@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.reuse import materialize
-from .text import ByteHash, Slice, bounds, mix, slices, uniform, window_hashes, words
+from .text import ByteHash, Slice, bounds, lookup_table, mix, slices, uniform, window_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -233,7 +233,7 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else \
             e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        low = lookup_table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         out = both.join(low, "a")
         if large:
             out = out.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -272,21 +272,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         F.min("uid").alias("node"), F.min("doc_id").alias("min_doc"), F.count("*").alias("copies")))
     firsts = sig.filter("n_words > 0").select("uid", "bands").join(nodes.select(F.col("node").alias("uid")), "uid")
     hits = materialize(firsts.select(F.col("uid").alias("node"), F.explode("bands").alias("bucket")))
-    shared = materialize(hits.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high"))
+    shared = lookup_table(hits.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high"))
     hits = materialize(hits.join(shared, "bucket"))
     pairs = hits.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).union(
         hits.filter("node <> high and node <> low").select(F.col("node").alias("a"), F.col("high").alias("b"))).distinct()
-    keys = materialize(nodes.filter("lone = -1").select("node", "k1", "k2"))
+    keys = lookup_table(nodes.filter("lone = -1").select("node", "k1", "k2"))
     links = materialize(_verify(base, keys, pairs, size, weights).filter(F.col("similarity") >= similarity))
     comp = materialize(components(links))
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))) \
         .groupBy("node").agg(F.count("*").alias("n_links"))
     full = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(degree, "node", "left")
     full = materialize(full)
-    classes = materialize(full.groupBy("comp").agg(
+    classes = lookup_table(full.groupBy("comp").agg(
         F.min("min_doc").alias("class_id"), F.sum("copies").alias("class_size"),
         F.min(F.struct(F.col("min_doc").isNull().alias("no_id"), "min_doc", "node")).alias("best")))
-    named = materialize(full.join(classes, "comp").select(
+    named = lookup_table(full.join(classes, "comp").select(
         "k1", "k2", "lone", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (F.col("node") == F.col("best.node")).alias("is_kept"),
         F.col("min_doc").alias("first_doc")))
@@ -299,10 +299,10 @@ def _verify(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, weigh
     """Exact similarity of node pairs (a, b), on the whole texts of one document of each node."""
     pairs = materialize(pairs)
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(used.join(keys, "node"))
+    wanted = lookup_table(used.join(keys, "node"))
     # Copies are reduced before they are shuffled, so a hot group of them stays small.
     packed = packed_texts(docs).dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("node", "packed")
-    packed = materialize(packed)
+    packed = lookup_table(packed)
     a = packed.select(F.col("node").alias("a"), F.col("packed").alias("text_a"))
     b = packed.select(F.col("node").alias("b"), F.col("packed").alias("text_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
@@ -314,6 +314,6 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     no_id = F.lit(-(1 << 63))
     kept = near_duplicates(docs, **options).filter("is_kept").select(
         F.coalesce("doc_id", no_id).alias("__kd"), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
-    kept = materialize(kept.distinct())
+    kept = lookup_table(kept.distinct())
     own = content_keys(docs).withColumn("__kd", F.coalesce("doc_id", no_id))
     return own.join(kept, ["__kd", "__k1", "__k2"], "left_semi").dropDuplicates(["__kd", "__k1", "__k2"]).select(*docs.columns)

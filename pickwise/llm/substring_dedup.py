@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.reuse import materialize
+from .text import lookup_table
 
 MIN_WORDS = 10
 _SIGN = 1 << 63
@@ -59,7 +60,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                         "words long, d1 long, d2 long"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id", "start")
     first = units.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = materialize(first.select("d1", "d2", F.col("first.doc_id").alias("first_doc_id"), F.col("first.row_id").alias("first_row"),
+    first = lookup_table(first.select("d1", "d2", F.col("first.doc_id").alias("first_doc_id"), F.col("first.row_id").alias("first_row"),
                                      F.col("first.start").alias("first_start"), F.col("n").alias("occurrences")))
     return units.join(first, ["d1", "d2"]).filter("row_id <> first_row or start <> first_start").select(
         "doc_id", "row_id", "start", "length", "words", "first_doc_id", "first_start", "occurrences")
@@ -82,7 +83,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     so rows that share an id share their cuts."""
     per_doc = spans.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_set(F.struct("start", "length")).alias("__cut"))
-    joined = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id")).join(materialize(per_doc), "__id", "left")
+    joined = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id")).join(lookup_table(per_doc), "__id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

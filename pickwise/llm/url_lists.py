@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.reuse import materialize
+from .text import lookup_table
 
 BUCKET_DAYS = 30
 #: Path prefixes looked up per url (whole leading path segments).
@@ -96,7 +97,7 @@ def blocked_lists(captures: DataFrame, entries: DataFrame, bucket_days: int = BU
     asked = materialize(asked.filter("key is not null"))
     moments = asked.select("key", "f").distinct().withColumn("bucket", _bucket(F.col("f"), bucket_days))
     active = moments.join(pieces, ["key", "bucket"]).filter("f >= valid_from and (valid_to is null or f < valid_to)")
-    active = materialize(active.select("key", "f", "list_name").distinct())
+    active = lookup_table(active.select("key", "f", "list_name").distinct())
     hits = asked.join(active, ["key", "f"]).groupBy("n").agg(F.sort_array(F.collect_set("list_name")).alias("blocked_by"))
     none = F.array().cast("array<string>")
     return rows.join(hits, "n", "left").select("row.*", F.coalesce("blocked_by", none).alias("blocked_by"), F.col("blocked_by").isNull().alias("allowed"))
