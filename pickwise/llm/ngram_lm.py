@@ -48,7 +48,7 @@ from .text import ByteHash, mix, slices, words
 START, END = np.uint64(2), np.uint64(4)
 DISCOUNT = 0.75
 #: Words of a block, and bytes of text whose n-grams make a shard.
-BLOCK_WORDS, SHARD_BYTES = 4_000_000, 32 << 20
+BLOCK_WORDS, SHARD_BYTES = 1_500_000, 16 << 20
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
