@@ -13,8 +13,9 @@ brought to the driver and fitted with Adam on balanced batches; the weights
 
 Nulls and edges: a null or empty text is one chunk of padding and gets the score
 the network gives it; a null doc_id is not held out and has no label; labels
-other than 0 and 1 are ignored; of repeated label rows all count; with no
-labels of a class the score is 0.5 throughout; extra columns are ignored.
+other than 0 and 1 are ignored; an id with both labels counts in both classes,
+repeated rows of an id count once, with the smallest text; with no labels
+of a class the score is 0.5 throughout; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.reuse import materialize
 from .text import Slice, slices
 
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 4, 32, 16
@@ -164,15 +166,17 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, max_bytes: int) -> tuple[list[bytes], list[bytes]]:
-    """Bounded sample of texts labelled 1 and 0 outside the held-out fold."""
-    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(~held_out(F.col("doc_id"))) \
-        .filter(F.octet_length("text") <= max_bytes)
-    rows = known.join(labels.select("doc_id", F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)"), "doc_id")
-    out = []
-    for y in (1, 0):
-        part = rows.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_class)
-        out.append([r.text.encode("utf-8", "replace") for r in part.select("text").toLocalIterator()])
-    return out[0], out[1]
+    """Bounded sample of texts labelled 1 and 0 outside the held-out fold: ids
+    are picked first, so only the picked texts travel."""
+    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(~held_out(F.col("doc_id"))) \
+        .filter(F.col("doc_id").isNotNull() & (F.octet_length("text") <= max_bytes))
+    marks = labels.select("doc_id", F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)").distinct()
+    rows = materialize(train.select("doc_id").distinct().join(marks, "doc_id"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    good, bad = (rows.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (1, 0))
+    chosen = good.unionByName(bad)      # at most 2 * per_class rows
+    texts = train.join(F.broadcast(chosen), "doc_id").groupBy("y", "doc_id").agg(F.min("text").alias("text")).orderBy(*order).collect()
+    return tuple([r.text.encode("utf-8", "replace") for r in texts if r.y == y] for y in (1, 0))
 
 
 def score_batches(weights: dict[str, np.ndarray] | None):
