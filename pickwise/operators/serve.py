@@ -106,13 +106,16 @@ def score_pairs(model, demands: DataFrame, plants: DataFrame, pairs: DataFrame,
 def position_lookup(preds: DataFrame, plants: DataFrame, value: str, plant_key: str = "plant_id",
                     plant_order: list[str] | None = None) -> DataFrame:
     """Treat a number as a 0-based plant position: half-even rounding,
-    clamped to [0, n-1]; the plant at that position in plant order."""
+    clamped to [0, n-1]; the plant at that position in plant order. A null
+    number has no plant (null)."""
     order = plant_order or [plant_key]
     indexed = with_global_index(plants.select(plant_key, *[c for c in order if c != plant_key]), order, "__pos")
     n = indexed.agg(F.count(F.lit(1))).scalar()
-    pos = F.greatest(F.lit(0), F.least(F.bround(F.col(value), 0).cast("bigint"), n - 1))
+    at = F.bround(F.col(value), 0).cast("bigint")
+    # least and greatest skip nulls, so a missing number is kept apart.
+    pos = F.when(at.isNotNull(), F.greatest(F.lit(0), F.least(at, n - 1)))
     looked = indexed.select(F.col("__pos"), F.col(plant_key).alias("selected_plant"))
-    return preds.withColumn("__pos", pos).join(looked, "__pos").drop("__pos")
+    return preds.withColumn("__pos", pos).join(looked, "__pos", "left").drop("__pos")
 
 
 def random_demands(spark: SparkSession, n: int, features: list[str], seed: int = 0,

@@ -28,9 +28,9 @@ def test_linear_serving_equals_pair_scoring(spark):
 
 def test_position_lookup_rounds_half_even_and_clamps(spark):
     plants = spark.createDataFrame([(p,) for p in (10, 20, 30, 40)], "plant_id long")
-    preds = spark.createDataFrame([(1, -3.0), (2, 0.5), (3, 1.5), (4, 2.4), (5, 99.0)], "k int, v double")
+    preds = spark.createDataFrame([(1, -3.0), (2, 0.5), (3, 1.5), (4, 2.4), (5, 99.0), (6, None)], "k int, v double")
     got = {r.k: r.selected_plant for r in serve.position_lookup(preds, plants, "v").collect()}
-    assert got == {1: 10, 2: 10, 3: 30, 4: 30, 5: 40}
+    assert got == {1: 10, 2: 10, 3: 30, 4: 30, 5: 40, 6: None}
 
 
 def test_csv_na_stays_value_empty_is_null(spark):
