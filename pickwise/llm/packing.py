@@ -19,6 +19,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ END_ID = 2
 LENGTH = 4096
 #: Ids of remaining pieces in a group (one task's work).
 GROUP_TOKENS = 4_000_000
+#: Bytes of text tokenised at once; a worker's memory follows it.
+TOKEN_BYTES = 512 << 10
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -68,6 +71,8 @@ class UnitTokens:
     LIMIT = 2_000_000
 
     def __init__(self, vocabulary: str):
+        # A task has one core; the threads of a tokenizer pool would each keep their own memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -150,7 +155,7 @@ def vocabulary_file(folder: str | None) -> str:
 
 def token_slices(column: pa.Array, units: UnitTokens, hasher: ByteHash) -> Iterator[tuple[Slice, np.ndarray, np.ndarray]]:
     """Per slice: its ids (each document's followed by the end id) and where each document starts."""
-    for s in slices(column):
+    for s in slices(column, TOKEN_BYTES):
         n = s.hi - s.lo
         start, end, doc = words(s, unit_breaks(s.data))
         row = units.lookup(s, hasher.ranges(hasher.prefix(s.data), start, end), start, end)

@@ -67,7 +67,7 @@ class ByteHash:
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
         if len(data) + 1 > self.n:
-            self.n = max(len(data) + 1, SLICE_BYTES + 1)
+            self.n = max(len(data) + 1, 2 * self.n)
             self.pow, self.inv = _powers(self.n, _P), _powers(self.n, pow(_P, -1, 1 << 64))
         out = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(self.table[data] * self.pow[:len(data)], out=out[1:])
