@@ -93,7 +93,7 @@ def segment_predicted(spark: SparkSession, sf: str) -> DataFrame:
     seg = fx.fixture_demands(spark, sf).select("demand_id", "segment")
     rows = costs.join(seg, "demand_id")
     tot = rows.groupBy("plant_id", "segment").agg(F.sum("cost").alias("tot"), F.count("cost").alias("n"))
-    j = rows.join(tot, ["plant_id", "segment"])
+    j = rows.join(tot.hint("rebalance"), ["plant_id", "segment"])
     return j.select(F.col("demand_id").alias(cmb.DEMAND), F.col("plant_id").alias(cmb.PLANT),
                     F.col("cost").alias(cmb.COST),
                     F.when(F.col("n") > 1, (F.col("tot") - F.col("cost")) / (F.col("n") - 1)).alias("prediction"))
@@ -195,6 +195,20 @@ def q_logo_first_folds(spark, sf):
     return split.logo_folds(combined(spark, sf, reuse=True), 100)
 
 
+def q_logo_folds_text(spark, sf):
+    """G2 over text ids: customers in debt have an id without digits."""
+    spelled = F.translate("c_name", "0123456789", "abcdefghij")
+    ids = fx.table(spark, sf, "customer").select(
+        F.when(F.col("c_acctbal") < 0, spelled).otherwise(F.col("c_name")).alias(cmb.DEMAND))
+    return split.logo_folds(ids, None)
+
+
+def q_orphan_counts(spark, sf):
+    """Cost rows without a demand in credit, and without a plant."""
+    d, p, c = inputs(spark, sf)
+    return cmb.orphan_counts(d.filter("DF1 >= 0"), p.filter("PF1 >= 0"), c)
+
+
 def q_mean_lines(spark, sf):
     """The mean reference lines of the cost and regret views."""
     costs = summaries.mean_line(fx.fixture_costs(spark, sf), "cost").select(F.col("mean").alias("mean_cost"))
@@ -306,7 +320,7 @@ def q_prediction_pairs_bounds(spark, sf):
 
 
 def q_position_lookup(spark, sf):
-    d = fx.fixture_demands(spark, sf).select("demand_id", (F.col("DF1") / 100).alias("raw_prediction"))
+    d = fx.fixture_demands(spark, sf).select("demand_id", F.when(F.col("DF3") > 0, F.col("DF1") / 100).alias("raw_prediction"))
     return rounded(serve.position_lookup(d, fx.fixture_plants(spark, sf), "raw_prediction"))
 
 
@@ -336,6 +350,14 @@ def q_group_gram(spark, sf):
 
 # ----------------------------------------------- model queries (rows check)
 
+def q_serve_best_plant_forest(spark, sf):
+    """I2 through a forest: every demand against every plant, in blocks."""
+    model, d, p, c = fitted(spark, sf)
+    comb = cv.materialize(cmb.combine(*model.transform(d, p, c), model.demand_features, model.plant_features))
+    m = fit_model("random_forest", {"n_estimators": 5, "max_depth": 4}, SEED, comb, model.all_features)
+    return rounded(serve.best_plant(m, model, d, p, candidates="all", plant_info=["region"]))
+
+
 def _features(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c[:2] in ("DF", "PF")]
 
@@ -413,6 +435,8 @@ QUERIES = {
     "split_counts": q_split_counts,
     "logo_folds": q_logo_folds,
     "logo_first_folds": q_logo_first_folds,
+    "logo_folds_text": q_logo_folds_text,
+    "orphan_counts": q_orphan_counts,
     "scenario_table": q_scenario_table,
     "selection_regret": q_selection_regret,
     "error_stats": q_error_stats,
@@ -435,6 +459,7 @@ QUERIES = {
     "position_lookup": q_position_lookup,
     "serve_best_plant": q_serve_best_plant,
     "serve_pair_cost": q_serve_pair_cost,
+    "serve_best_plant_forest": q_serve_best_plant_forest,
     "group_gram": q_group_gram,
     "lasso_fit": q_lasso_fit,
     "forest_fit": _tree_fit("random_forest", {"n_estimators": 20, "max_depth": 5, "min_samples_split": 2}),

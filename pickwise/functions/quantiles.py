@@ -9,12 +9,7 @@ Three ways, same meaning:
   ``1/accuracy``); bounded memory for any group size.
 * ``sorted`` - exact and skew-safe: a global sort on (group, value), then the
   two rows around the quantile position of each group are picked by their
-  global position (see ``ranking``). No group is ever held by one task.
-* ``auto``   - (default) exact; splits hot groups: one count aggregate finds
-  the groups with more than ``max_group_rows`` values; those go the
-  ``sorted`` way, all others the ``exact`` way (memory per group bounded by
-  ``max_group_rows``). The hot-key table has at most rows / max_group_rows
-  keys, so broadcasting it is bounded.
+  global position (see ``ranking``). No group is ever held by one task (default).
 """
 
 from __future__ import annotations
@@ -24,10 +19,8 @@ from pyspark.sql import functions as F
 
 from .ranking import with_global_index
 
-METHODS = ("exact", "approx", "sorted", "auto")
-DEFAULT_METHOD = "auto"
-# Largest group the exact percentile aggregate may hold in one task (fixed bound).
-MAX_GROUP_ROWS = 1_000_000
+METHODS = ("exact", "approx", "sorted")
+DEFAULT_METHOD = "sorted"
 
 
 def quantile_expr(value: str | Column, q: float, method: str = "exact",
@@ -42,50 +35,18 @@ def quantile_expr(value: str | Column, q: float, method: str = "exact",
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float],
-                      method: str = DEFAULT_METHOD, accuracy: int = 10_000,
-                      max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                      method: str = DEFAULT_METHOD, accuracy: int = 10_000) -> DataFrame:
     """One row per group (``keys``) with one column per ``name -> q`` in ``qs``;
     null values are skipped, groups without values are absent."""
     if method not in METHODS:
         raise ValueError(f"unknown quantile method {method!r}")
     present = df.filter(F.col(value).isNotNull())
-    if method == "auto":
-        return _auto_quantiles(present.select(*keys, value), keys, value, qs, max_group_rows)
     if method != "sorted":
         grouped = present.groupBy(*keys) if keys else present
         return grouped.agg(*[quantile_expr(value, q, method, accuracy).alias(n) for n, q in qs.items()])
     return _sorted_quantiles(present.select(*keys, value), keys, value, qs)
 
 
-def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
-    """The groups with more than ``max_group_rows`` rows (a partial count
-    aggregate), or None when there is none. With no keys the whole table is
-    one group: an empty key table stands for it."""
-    if not keys:
-        big = df.limit(max_group_rows + 1).count() > max_group_rows
-        return df.sparkSession.range(1).select() if big else None
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > max_group_rows).select(*keys))
-    return hot if hot.limit(1).count() > 0 else None
-
-
-def _auto_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float],
-                    max_group_rows: int) -> DataFrame:
-    def exact(rows):
-        grouped = rows.groupBy(*keys) if keys else rows
-        return grouped.agg(*[quantile_expr(value, q, "exact").alias(n) for n, q in qs.items()])
-
-    hot = hot_groups(df, keys, max_group_rows)
-    if hot is None:
-        return exact(df)
-    if not keys:
-        return _sorted_quantiles(df, keys, value, qs)
-    hot = F.broadcast(hot)  # at most rows / max_group_rows keys
-    cold_part = exact(df.join(hot, keys, "left_anti"))
-    hot_part = _sorted_quantiles(df.join(hot, keys, "left_semi"), keys, value, qs)
-    return cold_part.unionByName(hot_part)
-
-
 def _sorted_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
     # Rows of a group are contiguous in the global (keys, value) order; a group
     # starts at the smallest global position it holds. Copies of one value are

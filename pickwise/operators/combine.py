@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
-
 DEMAND = "Demand_ID"
 PLANT = "Plant_ID"
 COST = "Cost"
@@ -30,22 +28,20 @@ def first_per_key(df: DataFrame, key: str, columns: list[str], order: str | None
 def combine(demand: DataFrame, plants: DataFrame, costs: DataFrame, demand_features: list[str],
             plant_features: list[str], demand_key: str = "demand_id", plant_key: str = "plant_id",
             cost: str = "cost", dedupe: bool = True, demand_order: str | None = None,
-            plant_order: str | None = None, drop_missing: bool = True,
-            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+            plant_order: str | None = None, drop_missing: bool = True) -> DataFrame:
     """Costs joined to demand and plant features (inner joins: a cost row whose
     demand or plant is unknown has nothing to look up and is dropped; count
-    them with ``orphan_counts``). The plant side is broadcast only when its
-    row count is checked to be small; the demand side is a shuffle join that
-    AQE may split when a demand is hot. ``drop_missing`` drops rows with any
+    them with ``orphan_counts``). Adaptive execution broadcasts a
+    side by its measured size, or splits a hot key: the aggregated sides are
+    rebalanced, so that they do not bring along a partitioning by the key. ``drop_missing`` drops rows with any
     missing value (P12)."""
     d = demand.select(demand_key, *demand_features)
     p = plants.select(plant_key, *plant_features)
     if dedupe:
-        d = first_per_key(demand, demand_key, demand_features, demand_order)
-        p = first_per_key(plants, plant_key, plant_features, plant_order)
+        d = first_per_key(demand, demand_key, demand_features, demand_order).hint("rebalance")
+        p = first_per_key(plants, plant_key, plant_features, plant_order).hint("rebalance")
     c = costs.select(F.col(demand_key), F.col(plant_key), F.col(cost).cast("double").alias(COST))
-    joined = (c.join(d, demand_key)
-              .join(broadcast_if_bounded(p, max_broadcast_rows), plant_key))
+    joined = c.join(d, demand_key).join(p, plant_key)
     out = joined.select(F.col(demand_key).alias(DEMAND), F.col(plant_key).alias(PLANT),
                         *[F.col(f).cast("double").alias(f) for f in demand_features + plant_features],
                         F.col(COST))

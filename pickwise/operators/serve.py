@@ -4,17 +4,24 @@ For a linear model the prediction splits into a demand part and a plant part,
 ``b + w_d . x_d + w_p . x_p``; the demand part is the same for every plant,
 so the cheapest plant is the plant with the smallest ``w_p . x_p`` - one
 aggregate over the plants, no (demand x plant) pairs. Models without that
-split (trees) must score every candidate of a demand; that path needs the
-candidate table under a checked size and broadcasts it.
+split (trees) must score every candidate of a demand; that path deals demands
+and candidates into blocks, joins block with block and keeps the lowest
+prediction of a demand by partial aggregation, for tables of any size.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranking import with_global_index
-from ..functions.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, row_count_at_most
+from ..functions.reuse import reusable
+from .combine import first_per_key
+
+#: Rows of one block of demands or candidates in the search of non-linear models.
+BLOCK_ROWS = 2000
 
 
 def linear_score(weights: dict[str, float], intercept: float = 0.0):
@@ -50,23 +57,33 @@ def best_plant_linear(demands: DataFrame, plants: DataFrame, intercept: float, w
 
 def best_plant_scored(model, demands: DataFrame, plants: DataFrame, demand_key: str = "demand_id",
                       plant_key: str = "plant_id", plant_info: list[str] | None = None,
-                      feature_count: int | None = None,
-                      max_candidates: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """I2 for any model: every demand scored against every candidate (the
-    candidate table must have at most ``max_candidates`` rows; it is
-    broadcast), then the lowest prediction per demand (partial aggregate)."""
-    if not row_count_at_most(plants, max_candidates):
-        raise ValueError(f"candidate table has more than {max_candidates} rows; "
-                         "use a linear model or narrow the candidates")
+                      feature_count: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """I2 for any model: every demand scored against every candidate, block by
+    block, then the lowest prediction per demand (partial aggregate). A
+    candidate with a missing feature is never picked; a demand with one gets
+    no plant (null)."""
     info = list(plant_info or [])
-    pairs = demands.crossJoin(F.broadcast(plants))
+    mine = [f for f in model.features if f in demands.columns]
+    theirs = [f for f in model.features if f in plants.columns]
+    demands = reusable(demands.select(demand_key, *mine))
+    plants = reusable(plants.select(plant_key, *info, *theirs).na.drop(subset=[plant_key, *theirs]))
+    known = demands.na.drop(subset=[demand_key, *mine]).dropDuplicates([demand_key])
+    slices = max(1, math.ceil(known.count() / block_rows))
+    blocks = max(1, math.ceil(plants.count() / block_rows))
+    # Block pair (s, b): a slice of the demands meets a block of the candidates.
+    left = known.select("*", F.pmod(F.xxhash64(demand_key), F.lit(slices)).alias("__s"),
+                        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("__b"))
+    right = plants.select("*", F.pmod(F.xxhash64(plant_key), F.lit(blocks)).alias("__b"),
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))).alias("__s"))
+    pairs = left.join(right, ["__s", "__b"])
     scored = model.transform(pairs).filter(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
     agg = scored.groupBy(demand_key).agg(
         F.min_by(F.struct(F.col(plant_key).alias("selected_plant"), *[F.col(c) for c in info],
                           F.col("prediction").alias("raw_prediction")),
                  F.struct(F.col("prediction"), F.col(plant_key))).alias("b"))
     n = feature_count if feature_count is not None else len(model.features)
-    return agg.select(demand_key, "b.*", F.lit(n).alias("feature_count"))
+    return demands.select(demand_key).join(agg, demand_key, "left").select(
+        demand_key, "b.*", F.lit(n).alias("feature_count"))
 
 
 def best_plant(model, prep, demands: DataFrame, plants: DataFrame, candidates: str = "all",
@@ -93,13 +110,18 @@ def best_plant(model, prep, demands: DataFrame, plants: DataFrame, candidates: s
 
 def score_pairs(model, demands: DataFrame, plants: DataFrame, pairs: DataFrame, demand_features: list[str],
                 plant_features: list[str], demand_key: str = "demand_id", plant_key: str = "plant_id",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                demand_order: str | None = None, plant_order: str | None = None) -> DataFrame:
     """Predicted cost of given (demand, plant) pairs - the features of
-    both sides are looked up by key (plants broadcast when checked small)."""
-    d = demands.select(demand_key, *demand_features)
-    p = plants.select(plant_key, *plant_features)
-    joined = pairs.select(demand_key, plant_key).join(d, demand_key).join(
-        broadcast_if_bounded(p, max_broadcast_rows), plant_key)
+    both sides are looked up by key, one row per key (see ``first_per_key``).
+    A pair with a missing feature has no prediction."""
+    d = first_per_key(demands, demand_key, demand_features, demand_order).hint("rebalance")
+    p = first_per_key(plants, plant_key, plant_features, plant_order).hint("rebalance")
+    joined = pairs.select(demand_key, plant_key).join(d, demand_key).join(p, plant_key)
+    if model.linear_terms() is None:
+        full = joined.na.drop(subset=demand_features + plant_features)
+        gaps = joined.filter(F.greatest(*[F.col(f).isNull() for f in demand_features + plant_features]))
+        return model.transform(full).select(demand_key, plant_key, "prediction").unionByName(
+            gaps.select(demand_key, plant_key, F.lit(None).cast("double").alias("prediction")))
     return model.transform(joined).select(demand_key, plant_key, "prediction")
 
 

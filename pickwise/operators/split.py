@@ -63,19 +63,24 @@ def split_counts(flagged: DataFrame, key: str = DEMAND, flag: str = "is_test") -
 
 
 def group_column(df: DataFrame, key: str = DEMAND) -> Column:
-    """The LOGO group of a row: the id itself when integral, else its first
-    digit run (P14) - ids without digits keep their own text as group."""
+    """The LOGO group of a row: the id itself when integral, else the number
+    in its first digit run (P14). If some ids of ``df`` hold no such number,
+    all groups are text: the number's where there is one, else the id."""
     dtype = df.schema[key].dataType
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return F.col(key).cast("bigint")
-    return group_key(key)
+    number = group_key(key)
+    if df.filter(F.col(key).isNotNull() & number.isNull()).isEmpty():
+        return number
+    return F.coalesce(number.cast("string"), F.col(key).cast("string"))
 
 
 def logo_folds(df: DataFrame, n_folds: int | None = None, key: str = DEMAND) -> DataFrame:
     """``(Fold, Group)`` for the first ``n_folds`` groups in
-    ascending group order (all groups when ``None``)."""
+    ascending group order, numbers before other texts (all groups when ``None``)."""
     groups = df.select(group_column(df, key).alias("Group")).filter(F.col("Group").isNotNull()).distinct()
-    indexed = with_global_index(groups, ["Group"], "__i")
+    order = [F.col("Group").cast("string").try_cast("bigint").asc_nulls_last(), F.col("Group")]
+    indexed = with_global_index(groups, order, "__i")
     if n_folds is not None:
         indexed = indexed.filter(F.col("__i") < n_folds)
     return indexed.select((F.col("__i") + 1).cast("int").alias("Fold"), "Group")

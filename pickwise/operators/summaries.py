@@ -5,10 +5,12 @@ Nothing is drawn; every summary is a small DataFrame computed by aggregates.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, hot_groups, quantile_expr
+from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
 from ..functions.reuse import reusable
 from .regret import STAT_NAMES, cumulative_rmse, error_stats, improvement_pct, selection_quality
 
@@ -18,8 +20,6 @@ def plant_performance(costs: DataFrame, plant: str = "plant_id", cost: str = "co
     """Per plant mean, median, sample std and count of its costs."""
     c = F.col(cost)
     keyed = costs.filter(F.col(plant).isNotNull())
-    if quantile_method == "auto" and hot_groups(keyed.filter(c.isNotNull()), [plant]) is None:
-        quantile_method = "exact"
     if quantile_method in ("exact", "approx"):
         return keyed.groupBy(plant).agg(
             F.avg(c).alias("mean_cost"), quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
@@ -42,7 +42,7 @@ def boxplot_stats(costs: DataFrame, k: int = 10, plant: str = "plant_id", cost:
     """Box-plot numbers for the ``k`` cheapest plants: quartiles
     (linear), whiskers = most extreme costs within 1.5 IQR of the box, and
     the number of outliers beyond them."""
-    # Read five times below (hot checks, top-k, quartiles, fences): write the
+    # Read five times below (medians, top-k, quartiles, fences): write the
     # two needed columns once unless they already come from a written table.
     costs = reusable(costs.select(plant, cost))
     top = cheapest_plants(costs, k, plant, cost, quantile_method).select(plant)
@@ -77,7 +77,11 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
         return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
     lo, hi = F.lit(float(b["lo"])), F.lit(float(b["hi"]))
     n = F.lit(bins)
-    idx = F.least(F.floor((F.col("__v") - lo) / (hi - lo) * n), n - 1).cast("int")
+    guess = F.least(F.floor((F.col("__v") - lo) / (hi - lo) * n), n - 1).cast("int")
+    # The edges decide: division may put a value one bin beside its edge.
+    edge = lambda i: F.when(i == n, hi).otherwise(i.cast("double") * ((hi - lo) / n) + lo)
+    guess = guess - (F.col("__v") < edge(guess)).cast("int")
+    idx = guess + ((F.col("__v") >= edge(guess + 1)) & (guess < n - 1)).cast("int")
     counts = present.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -141,21 +145,29 @@ def feature_importance(importances: list[float], names: list[str], spark, k: int
     return df.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-class LazySummaries(dict):
-    """A dict whose entries may be built on first access; ``pending()`` lists
-    the entries not built yet (they are not in ``keys()`` until then)."""
+class LazySummaries(Mapping):
+    """A mapping whose entries may be built on first access: it lists every
+    entry; ``pending()`` lists those not built yet."""
+
+    def __init__(self, ready: dict | None = None):
+        self._ready, self._later = dict(ready or {}), {}
+
+    def __setitem__(self, key, value):
+        self._ready[key] = value
+
+    def __iter__(self):
+        return iter([*self._ready, *self._later])
 
-    def __init__(self, *a, **kw):
-        super().__init__(*a, **kw)
-        self._later = {}
+    def __len__(self):
+        return len(self._ready) + len(self._later)
 
     def later(self, key, build):
         self._later[key] = build
 
     def __getitem__(self, key):
-        if key not in self.keys() and key in self._later:
-            super().__setitem__(key, self._later.pop(key)())
-        return super().__getitem__(key)
+        if key in self._later:
+            self._ready[key] = self._later.pop(key)()
+        return self._ready[key]
 
     def pending(self) -> list:
         return list(self._later)
@@ -164,7 +176,7 @@ class LazySummaries(dict):
 def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataFrame,
                    scenario: DataFrame, folds: DataFrame, plant: str = "plant_id",
                    cost: str = "cost", importances: DataFrame | None = None,
-                   quantile_method: str = DEFAULT_METHOD) -> dict[str, DataFrame]:
+                   quantile_method: str = DEFAULT_METHOD) -> Mapping[str, DataFrame]:
     """Every summary as a lazy DataFrame (the cumulative RMSE, which
     needs a sort written to the checkpoint folder, is built on first access)."""
     out = LazySummaries({

@@ -155,11 +155,10 @@ def _hist(src: str, col: str, bins: int) -> str:
 , hv AS (SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE {col} IS NOT NULL),
 hb AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
               CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM hv),
-hc AS (SELECT CAST(least(floor((v - lo) / (hi - lo) * {bins}), {bins} - 1) AS INTEGER) AS bin, count(*) AS n
-       FROM hv, hb GROUP BY 1),
 he AS (SELECT CAST(b AS INTEGER) AS bin, CAST(b AS DOUBLE) * ((hi - lo) / {bins}) + lo AS bin_lo,
               CASE WHEN b = {bins} - 1 THEN hi ELSE CAST(b + 1 AS DOUBLE) * ((hi - lo) / {bins}) + lo END AS bin_hi
-       FROM range({bins}) r(b), hb WHERE lo IS NOT NULL)
+       FROM range({bins}) r(b), hb WHERE lo IS NOT NULL),
+hc AS (SELECT bin, count(*) AS n FROM hv JOIN he ON v >= bin_lo AND (v < bin_hi OR bin = {bins} - 1) GROUP BY bin)
 SELECT he.bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, coalesce(hc.n, 0) AS count
 FROM he LEFT JOIN hc ON he.bin = hc.bin"""
 
@@ -236,6 +235,15 @@ FROM combined c JOIN split s ON c.Demand_ID = s.Demand_ID GROUP BY s.is_test"""
     q["logo_first_folds"] = p + """SELECT Fold, "Group" FROM (
   SELECT CAST(row_number() OVER (ORDER BY Demand_ID) AS INTEGER) AS Fold, Demand_ID AS "Group" FROM grp)
 WHERE Fold <= 100"""
+    q["logo_folds_text"] = """WITH ids AS (SELECT CASE WHEN c_acctbal < 0 THEN translate(c_name, '0123456789', 'abcdefghij')
+    ELSE c_name END AS k FROM customer),
+g AS (SELECT DISTINCT coalesce(CAST(TRY_CAST(NULLIF(regexp_extract(k, '(\\d+)', 1), '') AS BIGINT) AS VARCHAR), k) AS "Group"
+      FROM ids WHERE k IS NOT NULL)
+SELECT CAST(row_number() OVER (ORDER BY TRY_CAST("Group" AS BIGINT) NULLS LAST, "Group") AS INTEGER) AS Fold, "Group" FROM g"""
+    q["orphan_counts"] = p + """SELECT count(*) AS cost_rows,
+  count(*) FILTER (WHERE demand_id NOT IN (SELECT demand_id FROM fx_demands WHERE DF1 >= 0)) AS no_demand,
+  count(*) FILTER (WHERE plant_id NOT IN (SELECT plant_id FROM fx_plants WHERE PF1 >= 0)) AS no_plant
+FROM fx_costs"""
     q["mean_lines"] = p + """SELECT round((SELECT avg(cost) FROM fx_costs), 6) AS mean_cost,
   round((SELECT avg(Model_Selected_Cost - Oracle_Cost) FROM scen), 6) AS mean_regret"""
     q["scenario_table"] = p + f"SELECT {SCEN_COLS} FROM scen"
@@ -308,9 +316,10 @@ GROUP BY r.plant_id, fz.q1, fz.median_cost, fz.q3"""
 FROM pred WHERE prediction IS NOT NULL"""
     q["position_lookup"] = p + """, pl AS (SELECT plant_id, row_number() OVER (ORDER BY plant_id) - 1 AS pos,
   count(*) OVER () AS n FROM fx_plants),
-d AS (SELECT demand_id, DF1 / 100 AS raw_prediction FROM fx_demands)
+d AS (SELECT demand_id, CASE WHEN DF3 > 0 THEN DF1 / 100 END AS raw_prediction FROM fx_demands)
 SELECT d.demand_id, round(d.raw_prediction, 6) AS raw_prediction, pl.plant_id AS selected_plant
-FROM d JOIN pl ON pl.pos = greatest(0, least(CAST(round_even(d.raw_prediction, 0) AS BIGINT), pl.n - 1))"""
+FROM d LEFT JOIN pl ON d.raw_prediction IS NOT NULL
+  AND pl.pos = greatest(0, least(CAST(round_even(d.raw_prediction, 0) AS BIGINT), pl.n - 1))"""
     q["serve_best_plant"] = p + f""", ds AS (SELECT demand_id, {SERVE_D} AS dscore FROM d_std),
 ps AS (SELECT plant_id, region, {SERVE_P} AS pscore FROM p_std WHERE ({SERVE_P}) IS NOT NULL),
 pairs AS (SELECT demand_id, plant_id, region, dscore + pscore AS pr FROM ds, ps)

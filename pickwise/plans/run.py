@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import DEFAULT_METHOD
-from ..operators.combine import combine
+from ..operators.combine import combine, orphan_counts
 from ..operators.prepare import STRATEGIES, Preprocessor
 from ..operators.regret import error_stats
 from ..operators.split import group_split
@@ -33,20 +33,21 @@ class SelectionOptions:
     plant_filter_percentile: float = 75.0
     missing_value_strategy: str = "mean"
     test_size_percent: float = 5.0
-    cv_n_folds: int | None = 500
+    cv_n_folds: int | None = None
     parallelism: int = 4
     model_params: dict | None = None
     tuning_grid: dict | None = None
     hyperparam_enabled: bool = True
-    hyperparam_cv_folds: int | None = 100
+    hyperparam_cv_folds: int | None = None
     hyperparam_scoring: str = "regret"
-    fold_mode: str = "logo"
+    fold_mode: str | None = None
     kfold_k: int = 5
     quantile_method: str = DEFAULT_METHOD
     demand_key: str = "demand_id"
     plant_key: str = "plant_id"
     cost: str = "cost"
     output_dir: str | None = None
+    on_orphan: str = "drop"
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -58,6 +59,18 @@ class SelectionOptions:
             raise ValueError("test_size_percent must be in (0, 100)")
         if self.hyperparam_scoring not in ("regret", "rmse"):
             raise ValueError("hyperparam_scoring must be 'regret' or 'rmse'")
+        if self.on_orphan not in ("drop", "error"):
+            raise ValueError("on_orphan must be 'drop' or 'error'")
+        # A tree model is fitted once per fold, so it cannot leave out every
+        # group in turn: without fold counts its folds are hashed groups.
+        bounded = self.cv_n_folds is not None and (not self.hyperparam_enabled or self.hyperparam_cv_folds is not None)
+        if self.fold_mode is None:
+            self.fold_mode = "logo" if self.model_type == "lasso" or bounded else "kfold"
+        if self.fold_mode not in ("logo", "kfold"):
+            raise ValueError("fold_mode must be 'logo' or 'kfold'")
+        if self.fold_mode == "logo" and self.model_type != "lasso" and not bounded:
+            raise ValueError("leave-one-group-out with fitted models needs cv_n_folds and hyperparam_cv_folds; "
+                             "use fold_mode='kfold' to cover every group")
         if self.model_params is None:
             self.model_params = dict(DEFAULT_PARAMS[self.model_type])
         if self.tuning_grid is None:
@@ -93,6 +106,7 @@ class SelectionRun:
     final: ModelResults
     summaries: dict
     timings: dict = field(default_factory=dict)
+    orphans: DataFrame | None = None
 
     @cached_property
     def comparison(self) -> DataFrame:
@@ -122,6 +136,11 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     choice, optional artifacts, summaries."""
     opts = options or SelectionOptions(**overrides)
     clock = _Clock()
+    orphans = orphan_counts(demand, plants, costs, opts.demand_key, opts.plant_key)
+    if opts.on_orphan == "error":
+        found = orphans.first()
+        if found["no_demand"] or found["no_plant"]:
+            raise ValueError(f"costs without a demand row: {found['no_demand']}, without a plant row: {found['no_plant']}")
     ingest = sinks.ingest_report({"demand": demand, "plants": plants, "costs": costs})
     prep = Preprocessor(opts.plant_filter_percentile, opts.missing_value_strategy, opts.demand_key,
                         opts.plant_key, opts.cost, quantile_method=opts.quantile_method).fit(demand, plants, costs)
@@ -177,7 +196,7 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
                                opts.plant_key, opts.cost, importances, opts.quantile_method)
     clock.lap("summaries")
     run = SelectionRun(opts, ingest, prep, combined, train, test, baseline, optimized, final,
-                       summaries, clock.laps)
+                       summaries, clock.laps, orphans)
     if opts.output_dir:
         write_artifacts(spark, run)
         clock.lap("artifacts")
@@ -213,6 +232,9 @@ def write_artifacts(spark: SparkSession, run: SelectionRun) -> None:
     run.prep.save(f"{out}/artifacts/preprocessor")
     sinks.write_table(sinks.feature_names_frame(spark, run.prep.demand_features, run.prep.plant_features),
                       f"{out}/artifacts/feature_names", "json")
+    for name, summary in run.summaries.items():
+        sinks.write_table(summary, f"{out}/results/summaries/{name}", "csv")
+    sinks.write_table(run.orphans, f"{out}/results/orphan_counts", "csv")
     test_rmse = f.test.stats.select("rmse").first()[0]
     logo_rmse = f.logo_stats.select("rmse").first()[0]
     n_folds = f.logo_folds.select("Fold").distinct().count()

@@ -25,11 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Hash-partition the line table by the join key: at scale this is the
-    # exchange the sort-merge join with orders needs anyway, and it spreads a
-    # source that arrives as few row groups over all cores.
-    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice")
-          .repartition("l_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pairs = (li.join(orders, li.l_orderkey == orders.o_orderkey)
              .groupBy(F.col("o_custkey").alias("demand_id"), F.col("l_suppkey").alias("plant_id"))
@@ -81,7 +77,8 @@ def fixture_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_loo_plant_mean(costs: DataFrame, plant: str = "plant_id", cost: str = "cost",
                         out: str = "pred") -> DataFrame:
     totals = costs.groupBy(plant).agg(F.sum(cost).alias("__tot"), F.count(cost).alias("__n"))
-    j = costs.join(totals, plant)
+    # Rebalanced totals have no partitioning by plant, so a hot plant can be split.
+    j = costs.join(totals.hint("rebalance"), plant)
     pred = F.when(F.col("__n") > 1, (F.col("__tot") - F.col(cost)) / (F.col("__n") - 1))
     return j.select(*costs.columns, pred.alias(out))
 

@@ -2,12 +2,13 @@ import json
 import math
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from pickwise import catalog
 from pickwise.operators.prepare import PreprocessModel
 from pickwise.operators.serve import best_plant
-from pickwise.plans.models import FittedModel
+from pickwise.plans.models import FittedModel, create_estimator
 from pickwise.plans.run import SelectionOptions, run_selection
 
 SF = "/root/testdata/sf0.001"
@@ -41,6 +42,8 @@ def test_run_writes_and_reloads_artifacts(spark):
     comp = run.comparison.filter(F.col("metric") == "rmse").collect()
     assert {(r.model, r.evaluation) for r in comp} == {("baseline", "test"), ("baseline", "logo"),
                                                         ("optimized", "test"), ("optimized", "logo")}
+    assert len(run.summaries) == 13 and set(run.summaries) >= {"cost_histogram", "boxplot_stats", "plant_performance"}
+    assert spark.read.option("header", True).csv(f"{out}/results/summaries/cost_histogram").count() == 50
     cum = run.summaries["cumulative_rmse"].orderBy("Fold").collect()
     last = run.final.logo_stats.first()["rmse"]
     assert math.isclose(cum[-1].cumulative_rmse, last, rel_tol=1e-9)
@@ -60,3 +63,17 @@ def test_forest_run_end_to_end(spark):
     imp = run.summaries["feature_importance"].collect()
     assert len(imp) == 8 and math.isclose(sum(r.importance for r in imp), 1.0, rel_tol=1e-9)
     assert run.summaries["regret_histogram"].agg(F.sum("count")).first()[0] == run.final.test.scenario.count()
+
+
+def test_options_are_checked_before_any_job(spark):
+    assert SelectionOptions().fold_mode == "kfold" and SelectionOptions(model_type="lasso").fold_mode == "logo"
+    with pytest.raises(ValueError):
+        SelectionOptions(model_type="random_forest", fold_mode="logo")
+    with pytest.raises(ValueError):
+        create_estimator("random_forest", {"max_depth": 50}, 1)
+
+
+def test_orphan_costs_stop_the_run_if_asked(spark):
+    d, p, c = catalog.inputs(spark, SF)
+    with pytest.raises(ValueError, match="plant row"):
+        run_selection(spark, d, p.filter("plant_id > 3"), c, SelectionOptions(model_type="lasso", on_orphan="error"))

@@ -76,7 +76,7 @@ def test_group_key_first_digit_run(spark):
     assert [r.g for r in df.select(group_key("id").alias("g")).collect()] == [17, 1, None]
 
 
-def test_auto_quantiles_split_hot_groups(spark):
+def test_sorted_quantiles_equal_exact_ones(spark):
     from pickwise.functions.quantiles import grouped_quantiles
     rng = np.random.default_rng(11)
     rows = [(0, float(v)) for v in rng.normal(size=300)] + [(1, float(v)) for v in rng.normal(size=7)] + \
@@ -84,11 +84,11 @@ def test_auto_quantiles_split_hot_groups(spark):
     df = spark.createDataFrame(rows, "k int, v double").repartition(5)
     qs = {"q1": 0.25, "med": 0.5}
     want = {r.k: (r.q1, r.med) for r in grouped_quantiles(df, ["k"], "v", qs, "exact").collect()}
-    got = {r.k: (r.q1, r.med) for r in grouped_quantiles(df, ["k"], "v", qs, "auto", max_group_rows=20).collect()}
+    got = {r.k: (r.q1, r.med) for r in grouped_quantiles(df, ["k"], "v", qs, "sorted").collect()}
     assert want.keys() == got.keys()
     for k in want:
         assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(want[k], got[k]))
-    glob = grouped_quantiles(df, [], "v", {"med": 0.5}, "auto", max_group_rows=10).first().med
+    glob = grouped_quantiles(df, [], "v", {"med": 0.5}, "sorted").first().med
     assert math.isclose(glob, float(np.median([v for _, v in rows])), rel_tol=1e-12)
 
 
@@ -97,7 +97,7 @@ def test_median_impute_same_on_every_quantile_path(spark):
     rows = [(i, None if i % 4 == 0 else float(v), float(w)) for i, (v, w) in enumerate(rng.normal(size=(60, 2)))]
     df = spark.createDataFrame(rows, "k int, DF1 double, DF2 double")
     want = {r.k: (r.DF1, r.DF2) for r in prep.impute(df, ["DF1", "DF2"], "median", "exact").collect()}
-    for method in ("sorted", "auto"):
+    for method in ("sorted",):
         got = {r.k: (r.DF1, r.DF2) for r in prep.impute(df, ["DF1", "DF2"], "median", method).collect()}
         assert all(math.isclose(got[k][j], want[k][j], rel_tol=1e-12) for k in want for j in (0, 1))
 

@@ -26,6 +26,30 @@ def test_linear_serving_equals_pair_scoring(spark):
         assert a[k][:2] == b[k][:2] and math.isclose(a[k][2], b[k][2], rel_tol=1e-12)
 
 
+def test_block_search_of_a_tree_model(spark):
+    from pickwise.plans.models import fit_model
+    rows = [(float(d), float(p), abs(d - p) + 0.1 * p) for d in range(12) for p in range(9)]
+    train = spark.createDataFrame(rows, "DF1 double, PF1 double, Cost double")
+    model = fit_model("random_forest", {"n_estimators": 3, "max_depth": 4}, 1, train, ["DF1", "PF1"])
+    demands = spark.createDataFrame([(d, None if d == 11 else float(d)) for d in range(12)], "demand_id long, DF1 double")
+    plants = spark.createDataFrame([(p, "r", None if p == 0 else float(p)) for p in range(9)],
+                                   "plant_id long, region string, PF1 double")
+    got = {r.demand_id: r.selected_plant for r in serve.best_plant_scored(
+        model, demands, plants, plant_info=["region"], block_rows=4).collect()}
+    pairs = model.transform(demands.na.drop().crossJoin(plants.na.drop())).collect()
+    want = {d: min((r.prediction, r.plant_id) for r in pairs if r.demand_id == d)[1] for d in range(11)}
+    assert got == want | {11: None}
+
+
+def test_pairs_with_duplicate_dimension_rows(spark):
+    demands = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "demand_id long, DF1 double")
+    plants = spark.createDataFrame([(1, 1.0), (1, 1.0)], "plant_id long, PF1 double")
+    pairs = spark.createDataFrame([(1, 1), (2, 1)], "demand_id long, plant_id long")
+    model = FittedModel("lasso", {}, ["DF1", "PF1"], intercept=0.0, coef=[1.0, 1.0])
+    got = sorted((r.demand_id, r.prediction) for r in serve.score_pairs(model, demands, plants, pairs, ["DF1"], ["PF1"]).collect())
+    assert got == [(1, 2.0), (2, 4.0)]
+
+
 def test_position_lookup_rounds_half_even_and_clamps(spark):
     plants = spark.createDataFrame([(p,) for p in (10, 20, 30, 40)], "plant_id long")
     preds = spark.createDataFrame([(1, -3.0), (2, 0.5), (3, 1.5), (4, 2.4), (5, 99.0), (6, None)], "k int, v double")

@@ -65,3 +65,17 @@ def test_histogram_constant_column(spark):
     counts, edges = np.histogram([1.0] * 5, bins=10)
     assert [r["count"] for r in h] == counts.tolist()
     assert math.isclose(h[0].bin_lo, 0.5) and math.isclose(h[-1].bin_hi, 1.5)
+
+
+def test_histogram_values_on_edges_match_numpy(spark):
+    vals = [i / 10 for i in range(11)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r["count"] for r in histogram(df, "x", 10).orderBy("bin").collect()]
+    assert got == np.histogram(vals, bins=10)[0].tolist()
+
+
+def test_logo_folds_keep_ids_without_digits(spark):
+    ids = ["north", "D8", "south", "D7", "east", "x10", "D7", None, "9" * 30]
+    df = spark.createDataFrame([(i,) for i in ids], "Demand_ID string")
+    got = [(r.Fold, r.Group) for r in split.logo_folds(df).orderBy("Fold").collect()]
+    assert got == list(enumerate(["7", "8", "10", "9" * 30, "east", "north", "south"], 1))
