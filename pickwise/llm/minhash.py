@@ -11,10 +11,15 @@ its signature keeps the earliest dart of each coordinate. Two signatures agree
 in a coordinate with a probability that is the weighted Jaccard similarity.
 
 Links: texts equal word for word form one class node first (hot copies never
-meet in a join). The nodes' bands are joined: each node is tested against the
-first and the last node of every bucket it falls into, and the pairs are
-verified exactly on the shingles of their whole texts. Classes are the connected components of the verified links
-(star contraction). No all-pairs output, no cap on buckets.
+meet in a join). Nodes are gathered by the smallest node that a few steps
+through shared buckets lead to and dealt into parts of at most about PART_NODES nodes and PART_WORDS
+words. Two parts that meet in any bucket (or one part with itself) are one unit
+of work: all their node pairs are verified exactly on the shingles of their
+whole texts, so every pair that shares a bucket is verified, once. A unit
+returns per node its number of links and one edge of a spanning forest, never
+the pairs. Classes are the connected components of these edges (star
+contraction). No cap on buckets; the comparisons inside a family of n nodes are
+n * n / 2, each text travels about n / PART_NODES times.
 
 Nulls and edges: a null or wordless text is a class of its own; a null doc_id
 is allowed; repeated rows fall into one class; extra columns are ignored.
@@ -37,6 +42,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 25 bands of 5 rows: a pair of similarity 0.8 shares a band with probability 0.99995.
 BANDS, ROWS = 25, 5
+#: About the most nodes and words of a part; two parts are compared in memory.
+PART_NODES, PART_WORDS = 2048, 1 << 19
+#: Times the smallest group of a node's buckets is taken over, so that the fringe
+#: of a family joins its group (else it meets every part of the family anew).
+HOPS = 2
+#: Shingles in more documents than this are counted by a matrix product.
+RARE = 8
 
 
 def rank_cell(c: int) -> tuple[float, float]:
@@ -199,31 +211,104 @@ def unpacked(column: pa.Array) -> pa.Array:
                     pa.large_binary()).cast(pa.large_string())
 
 
-def jaccard_batches(size: int, weights: str):
-    """mapInArrow function: (a, b, packed text_a, packed text_b) -> a, b, similarity."""
+def overlaps(w: np.ndarray, doc: np.ndarray, n_docs: int, n_left: int) -> np.ndarray:
+    """Numbers of common elements of sets given as (element, document) rows
+    sorted by document: of all pairs of documents if n_left is n_docs (the
+    diagonal is not filled), else of the first n_left with the others."""
+    own = n_left == n_docs
+    low = 0 if own else n_left
+    out = np.zeros((n_left, n_docs - low), dtype=np.float32 if len(w) < 1 << 24 else np.float64)
+    order = np.argsort(w, kind="stable")
+    w, doc = w[order], doc[order]
+    start = np.flatnonzero(np.concatenate((np.ones(min(len(w), 1), dtype=bool), w[1:] != w[:-1])))
+    count = np.diff(np.append(start, len(w)))
+    for k in range(2, RARE + 1):
+        i, j = np.triu_indices(k, 1)
+        some = doc[start[count == k][:, None] + np.arange(k)]
+        i, j = some[:, i].ravel(), some[:, j].ravel()
+        if not own:
+            across = (i < n_left) & (j >= n_left)
+            i, j = i[across], j[across] - n_left
+        at, n = np.unique(i * out.shape[1] + j, return_counts=True)
+        out.ravel()[at] += n
+    if own:
+        out += out.T.copy()
+    often = np.flatnonzero(count > RARE)
+    for lo in range(0, len(often), 2048):
+        some = often[lo:lo + 2048]
+        at = np.repeat(start[some] - np.cumsum(count[some]) + count[some], count[some]) + np.arange(count[some].sum())
+        has = np.zeros((n_docs, len(some)), dtype=np.float32)
+        has[doc[at], np.repeat(np.arange(len(some)), count[some])] = 1
+        out += has[:n_left] @ has[low:].T
+    return out
+
+
+def forest(linked: np.ndarray) -> np.ndarray:
+    """Per row of a symmetric boolean matrix the first row of its component."""
+    root = np.arange(len(linked))
+    todo = linked.any(axis=1)
+    for i in np.flatnonzero(todo):
+        front = np.array([i]) if todo[i] else np.zeros(0, np.int64)
+        todo[front] = False
+        while len(front):
+            near = todo.copy()
+            near[near] = linked[np.ix_(near, front)].any(axis=1)
+            front = np.flatnonzero(near)
+            root[front], todo[front] = i, False
+    return root
+
+
+def unit_batches(size: int, weights: str, similarity: float):
+    """mapInArrow function: (pa, pb, side, node, packed) sorted by unit (pa, pb)
+    -> node, root, links: the links of node to the nodes it meets in the unit
+    and the first node of its component there."""
+    def verified(side: np.ndarray, node: np.ndarray, w: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
+        n, n_left = len(node), int((side == 0).sum())
+        low = n_left if n_left < n else 0
+        order = np.argsort(side, kind="stable")          # the first part's nodes come first
+        place = np.empty(n, dtype=np.int64)
+        place[order] = np.arange(n)
+        doc = np.repeat(place, length)
+        by = np.argsort(doc, kind="stable")
+        node, length = node[order], length[order]
+        both = overlaps(w[by], doc[by], n, n_left)
+        linked = np.zeros((n, n), dtype=bool)
+        for at in range(0, n_left, 256):
+            own = both[at:at + 256].astype(float)
+            linked[at:at + len(own), low:] = own / (length[at:at + len(own), None] + length[low:] - own) >= similarity
+        linked[:, :n_left] |= linked[:n_left].T
+        np.fill_diagonal(linked, False)
+        links, root = linked.sum(axis=1), forest(linked)
+        keep = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[keep], node[root[keep]], links[keep])],
+                                          names=["node", "root", "links"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ByteHash()
+        hasher, unit, held = ByteHash(), None, []
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                sets = []
-                for name in ("text_a", "text_b"):
-                    own: list = []
-                    for s in slices(unpacked(part.column(name))):
-                        w, c, d, _, _ = shingle_sets(s, hasher, size)
-                        at = bounds(d, s.hi - s.lo)
-                        own += [(w[x:y], c[x:y]) for x, y in zip(at[:-1], at[1:])]
-                    sets.append(own)
-                sim = np.zeros(part.num_rows)
-                for i, ((wa, ca), (wb, cb)) in enumerate(zip(*sets)):
-                    _, ia, ib = np.intersect1d(wa, wb, assume_unique=True, return_indices=True)
-                    if weights == "count":
-                        both, total = np.minimum(ca[ia], cb[ib]).sum(), ca.sum() + cb.sum()
-                    else:
-                        both, total = len(ia), len(wa) + len(wb)
-                    sim[i] = both / (total - both) if total else 0.0
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim)],
-                                                 names=["a", "b", "similarity"])
+                found, sizes = [], []
+                for s in slices(unpacked(part.column("packed"))):
+                    w, c, d, _, _ = shingle_sets(s, hasher, size)
+                    if weights == "count":      # a shingle's nth occurrence is an element
+                        at = np.repeat(np.cumsum(c) - c, c)
+                        nth = (np.arange(len(at)) - at).astype(np.uint64)
+                        w, d = mix(np.repeat(w, c) + nth * np.uint64(0x9E3779B97F4A7C15)), np.repeat(d, c)
+                    found.append(w)
+                    sizes.append(np.bincount(d, minlength=s.hi - s.lo))
+                w, length = np.concatenate(found), np.concatenate(sizes)
+                at = np.concatenate(([0], np.cumsum(length)))
+                first, second, side, node = (part.column(k).to_numpy() for k in ("pa", "pb", "side", "node"))
+                new = np.flatnonzero((first[1:] != first[:-1]) | (second[1:] != second[:-1])) + 1
+                for x, y in zip([0, *new], [*new, len(node)]):
+                    if unit != (first[x], second[x]):
+                        if held:
+                            yield verified(*(np.concatenate(v) for v in zip(*held)))
+                        unit, held = (first[x], second[x]), []
+                    held.append((side[x:y], node[x:y], w[at[x]:at[y]], length[x:y]))
+        if held:
+            yield verified(*(np.concatenate(v) for v in zip(*held)))
     return run
 
 
@@ -269,18 +354,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     lone = F.when(F.col("n_words") == 0, F.col("uid")).otherwise(F.lit(-1))
     sig = sig.withColumn("lone", lone)
     nodes = materialize(sig.groupBy("k1", "k2", "lone").agg(
-        F.min("uid").alias("node"), F.min("doc_id").alias("min_doc"), F.count("*").alias("copies")))
+        F.min("uid").alias("node"), F.min("doc_id").alias("min_doc"), F.count("*").alias("copies"), F.max("n_words").alias("n_words")))
     firsts = sig.filter("n_words > 0").select("uid", "bands").join(nodes.select(F.col("node").alias("uid")), "uid")
     hits = materialize(firsts.select(F.col("uid").alias("node"), F.explode("bands").alias("bucket")))
-    shared = lookup_table(hits.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high"))
+    shared = lookup_table(hits.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                          .filter("low < high").select("bucket", "low"))
     hits = materialize(hits.join(shared, "bucket"))
-    pairs = hits.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).union(
-        hits.filter("node <> high and node <> low").select(F.col("node").alias("a"), F.col("high").alias("b"))).distinct()
-    keys = lookup_table(nodes.filter("lone = -1").select("node", "k1", "k2"))
-    links = materialize(_verify(base, keys, pairs, size, weights).filter(F.col("similarity") >= similarity))
-    comp = materialize(components(links))
-    degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))) \
-        .groupBy("node").agg(F.count("*").alias("n_links"))
+    links = materialize(_links(base, nodes, hits, size, weights, similarity))
+    comp = materialize(components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    degree = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     full = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(degree, "node", "left")
     full = materialize(full)
     classes = lookup_table(full.groupBy("comp").agg(
@@ -295,18 +377,32 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         (F.col("is_kept") & F.col("doc_id").eqNullSafe(F.col("first_doc"))).alias("is_kept"))
 
 
-def _verify(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, weights: str) -> DataFrame:
-    """Exact similarity of node pairs (a, b), on the whole texts of one document of each node."""
-    pairs = materialize(pairs)
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = lookup_table(used.join(keys, "node"))
+def _links(docs: DataFrame, nodes: DataFrame, hits: DataFrame, size: int, weights: str, similarity: float) -> DataFrame:
+    """node, root, links of every unit of work, from hits (node, bucket, low: the
+    bucket's smallest node) of all buckets with several nodes."""
+    group = hits.groupBy("node").agg(F.min("low").alias("group"))
+    for _ in range(HOPS):
+        near = hits.join(lookup_table(group), "node")
+        low = lookup_table(near.groupBy("bucket").agg(F.min("group").alias("group")))
+        group = hits.select("node", "bucket").join(low, "bucket").groupBy("node").agg(F.min("group").alias("group"))
+    group = materialize(group.join(lookup_table(nodes.filter("lone = -1").select("node", "k1", "k2", "n_words")), "node"))
+    sizes = lookup_table(group.groupBy("group").agg(F.greatest(
+        F.ceil(F.count("*") / PART_NODES), F.ceil(F.sum("n_words") / PART_WORDS)).alias("n_parts")))
+    dealt = group.join(sizes, "group").select(
+        "node", "k1", "k2", F.xxhash64("group", F.pmod(F.xxhash64("node"), "n_parts")).alias("part"))
+    dealt = lookup_table(dealt)
+    # The parts of every bucket; one meets itself where two of its nodes do.
+    meets = materialize(hits.select("node", "bucket").join(dealt.select("node", "part"), "node")
+                        .groupBy("bucket", "part").agg(F.count("*").alias("n")))
+    left, right = meets.select("bucket", F.col("part").alias("pa"), "n"), meets.select("bucket", F.col("part").alias("pb"))
+    units = materialize(left.join(right, "bucket").filter("pa < pb or (pa = pb and n > 1)").select("pa", "pb").distinct())
+    asked = lookup_table(units.select("pa", "pb", F.lit(0).alias("side"), F.col("pa").alias("part")).union(
+        units.filter("pa <> pb").select("pa", "pb", F.lit(1).alias("side"), F.col("pb").alias("part"))))
     # Copies are reduced before they are shuffled, so a hot group of them stays small.
-    packed = packed_texts(docs).dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("node", "packed")
-    packed = lookup_table(packed)
-    a = packed.select(F.col("node").alias("a"), F.col("packed").alias("text_a"))
-    b = packed.select(F.col("node").alias("b"), F.col("packed").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        jaccard_batches(size, weights), "a long, b long, similarity double")
+    packed = packed_texts(docs).dropDuplicates(["k1", "k2"]).join(dealt, ["k1", "k2"]).select("node", "part", "packed")
+    rows = lookup_table(packed).join(asked, "part").select("pa", "pb", "side", "node", "packed")
+    return rows.repartition("pa", "pb").sortWithinPartitions("pa", "pb").mapInArrow(
+        unit_batches(size, weights, similarity), "node long, root long, links long")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

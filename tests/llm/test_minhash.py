@@ -48,6 +48,32 @@ def test_classes_equal_brute_force(spark):
     assert got == classes_by_force(rows)
 
 
+def test_links_of_a_large_family_near_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART_NODES", 64)     # several parts, so pairs across parts count too
+    base, rng = prose(9, 300), random.Random(0)
+    rows = [(i, edited(base, rng.randint(2, 10), i), "s") for i in range(400)]
+    sets = [shingles(r[1]) for r in rows]
+    links = [sum(x is not y and len(x & y) >= 0.8 * len(x | y) for y in sets) for x in sets]
+    got = {r.doc_id: r for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert [got[i].n_links for i in range(400)] == links
+    assert {i: r.class_id for i, r in got.items()} == classes_by_force(rows)
+
+
+def test_overlaps_and_forest_equal_brute_force():
+    rng = random.Random(3)
+    sets = [sorted({rng.randrange(1, 60) for _ in range(rng.randrange(30))} | {99}) for _ in range(25)]
+    w = np.array([e for s in sets for e in s], dtype=np.uint64)
+    doc = np.repeat(np.arange(25), [len(s) for s in sets])
+    common = np.array([[len(set(a) & set(b)) for b in sets] for a in sets])
+    out = minhash.overlaps(w, doc, 25, 25)
+    np.fill_diagonal(out, np.diag(common))
+    assert (out == common).all() and (minhash.overlaps(w, doc, 25, 9) == common[:9, 9:]).all()
+    linked = np.zeros((6, 6), dtype=bool)
+    for i, j in ((1, 4), (4, 2), (3, 5)):
+        linked[i, j] = linked[j, i] = True
+    assert minhash.forest(linked).tolist() == [0, 1, 1, 3, 1, 3]
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(0)
     e = rng.integers(1, 1 << 63, 300, dtype=np.uint64)
