@@ -29,7 +29,8 @@ from ..functions.reuse import materialize
 from .text import lookup_table
 
 BUCKET_DAYS = 30
-#: Path prefixes looked up per url (whole leading path segments).
+#: Path prefixes that the query's SQL looks up per url (the registered lists have
+#: one segment); the operator looks up as many as its deepest entry has.
 PREFIX_SEGMENTS = 2
 
 
@@ -44,25 +45,28 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"(?i)^\s*(?:[a-z][a-z0-9+.\-]*:)?//[^/?#\s]+(/[^?#\s]*)", 1)
 
 
-def lookup_keys(url: Column) -> Column:
+def lookup_keys(url: Column, least: int, most: int) -> Column:
     """All keys under which a url can be listed: its host, the domains above it,
-    and its host followed by leading path segments."""
+    and its host followed by least to most leading path segments."""
     host = host_of(url)
     parts = F.split(host, r"\.")
     n = F.size(parts)
     domains = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
                           lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(parts, i, n), ".")))
     segments = F.filter(F.split(path_of(url), "/"), lambda x: x != "")
-    upto = F.least(F.size(segments), F.lit(PREFIX_SEGMENTS))
-    prefixes = F.transform(F.filter(F.sequence(F.lit(0), upto), lambda i: i > 0),
-                           lambda i: F.concat(F.lit("p:"), host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")))
+    upto = F.least(F.size(segments), F.lit(most))
+    prefixes = F.transform(F.filter(F.sequence(F.lit(0), upto), lambda i: i >= least), lambda i: F.concat(
+        F.lit("p:"), host, F.when(i > 0, F.concat(F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))).otherwise("")))
     return F.array_distinct(F.concat(F.array(F.concat(F.lit("h:"), host)), domains, prefixes))
 
 
 def entry_key(kind: Column, key: Column) -> Column:
-    """Key of an entry: kind is host, domain (it and all below) or prefix."""
+    """Key of an entry: kind is host, domain (it and all below) or prefix (a host,
+    in any case, and whole path segments)."""
     letter = F.when(kind == "host", "h:").when(kind == "domain", "d:").when(kind == "prefix", "p:")
-    return F.concat(letter, F.when(kind == "prefix", F.regexp_replace(key, "/+$", "")).otherwise(F.lower(key)))
+    host = F.lower(F.regexp_extract(key, "^[^/]*", 0))
+    prefix = F.concat(host, F.regexp_replace(F.regexp_replace(F.regexp_extract(key, "/.*$", 0), "/+", "/"), "/$", ""))
+    return F.concat(letter, F.when(kind == "prefix", prefix).otherwise(F.lower(key)))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -92,8 +96,12 @@ def blocked_lists(captures: DataFrame, entries: DataFrame, bucket_days: int = BU
     end = F.least(F.coalesce("valid_to", F.lit(last)), F.lit(last))
     pieces = valid.filter(F.col("valid_from") <= F.lit(last)).withColumn(
         "bucket", F.explode(F.sequence(_bucket(F.col("valid_from"), bucket_days), F.greatest(_bucket(end, bucket_days), _bucket(F.col("valid_from"), bucket_days)))))
+    # Only as many leading path segments are looked up as the prefixes have.
+    depth = F.size(F.split("key", "/")) - 1
+    least, most = valid.filter(F.col("key").startswith("p:")).agg(F.min(depth), F.max(depth)).first()
+    least, most = (1, 0) if most is None else (least, most)
     # What is asked: each key and moment once, however many captures share them.
-    asked = rows.filter("u is not null and f is not null").select("n", "f", F.explode(lookup_keys(F.col("u"))).alias("key"))
+    asked = rows.filter("u is not null and f is not null").select("n", "f", F.explode(lookup_keys(F.col("u"), least, most)).alias("key"))
     asked = materialize(asked.filter("key is not null"))
     moments = asked.select("key", "f").distinct().withColumn("bucket", _bucket(F.col("f"), bucket_days))
     active = moments.join(pieces, ["key", "bucket"]).filter("f >= valid_from and (valid_to is null or f < valid_to)")
