@@ -5,9 +5,10 @@ surrounding ASCII white space, by two 64-bit hashes. Per line hash a HyperLogLog
 sketch of the sites is merged by aggregation; a line whose estimate is clearly
 at or above ``min_sites`` is boilerplate, and one whose estimate lies within
 ``margin`` of it gets an exact distinct count of its sites. Boilerplate lines are
-removed from every document, except where they make up more than ``max_share`` of
-its characters: such a document is a copy, which near-duplicate removal judges
-as a whole, not a page with boilerplate on it.
+removed from every document that has lines of its own. A document of boilerplate
+lines only is a copy, which near-duplicate removal judges as a whole: it is left
+as it is and flagged in ``left_whole``. With ``max_share`` a document in which
+boilerplate makes up more than that share of the characters is left whole too.
 
 Skew: sketches and counts are partially aggregated before they are shuffled, and
 lines meet the (written) table of boilerplate hashes in a plain equi-join that
@@ -32,7 +33,8 @@ MIN_SITES = 10
 #: relative standard error is 1.04 / sqrt(2 ** LG_K) = 3.3 %, so this is 7 of them.
 MARGIN = 0.25
 LG_K = 10
-#: A document with a larger share of boilerplate characters is left whole.
+#: The registered query and its SQL leave documents with a larger share of
+#: boilerplate characters whole; the operator and the pipeline do not.
 MAX_SHARE = 0.5
 BLANK = " \t\r\v\f"
 
@@ -70,10 +72,10 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MA
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K,
-                max_share: float = MAX_SHARE) -> DataFrame:
-    """docs with its text cleaned, and n_lines, n_removed, removed_chars.
+                max_share: float | None = None) -> DataFrame:
+    """docs with its text cleaned, and n_lines, n_removed, removed_chars, left_whole.
 
-    ``n_removed`` is 0 in a document that is left whole."""
+    ``n_removed`` is 0 in a document that is left whole although it has boilerplate."""
     lines = materialize(line_table(docs))
     bad = lookup_table(boilerplate(lines, min_sites, margin, lg_k))
     hit = lines.join(bad, ["h1", "h2"]).filter("chars > 0").select("kd", "kt", "ku").distinct()
@@ -83,9 +85,13 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
     per_doc = flagged.groupBy("kd", "kt", "ku").agg(F.sort_array(F.collect_set(flag)).alias("flags"))
     removed = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + F.when(x.bad, x.chars).otherwise(0))
     whole = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + x.chars)
-    per_doc = lookup_table(per_doc.withColumn("removed_chars", removed).filter(
-        F.col("removed_chars") <= F.lit(max_share) * whole).select("kd", "kt", "ku", "removed_chars", F.transform("flags", lambda x: x.bad).alias("bad")))
-    mine = [c for c in docs.columns if c not in ("n_lines", "n_removed", "removed_chars")]
+    cleaned = F.col("removed_chars") < whole
+    if max_share is not None:
+        cleaned = cleaned & (F.col("removed_chars") <= F.lit(max_share) * whole)
+    per_doc = lookup_table(per_doc.withColumn("removed_chars", removed).withColumn("cleaned", cleaned).select(
+        "kd", "kt", "ku", "cleaned", F.when(F.col("cleaned"), F.col("removed_chars")).alias("removed_chars"),
+        F.when(F.col("cleaned"), F.transform("flags", lambda x: x.bad)).alias("bad")))
+    mine = [c for c in docs.columns if c not in ("n_lines", "n_removed", "removed_chars", "left_whole")]
     own = docs.select(F.struct(*mine).alias("row"), "text", *_key(docs)).join(per_doc, ["kd", "kt", "ku"], "left")
     kept = F.filter(F.zip_with(_lines(F.col("text")), F.col("bad"), lambda x, b: F.when(~b, x)), lambda x: x.isNotNull())
     clean = F.when(F.col("bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
@@ -93,4 +99,5 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
     return own.select(
         *others, F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text")))).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.filter("bad", lambda b: b)), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("removed_chars", F.lit(0)).cast("long").alias("removed_chars"))
+        F.coalesce("removed_chars", F.lit(0)).cast("long").alias("removed_chars"),
+        F.coalesce(~F.col("cleaned"), F.lit(False)).alias("left_whole"))

@@ -25,8 +25,9 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines that ten or more sources share."""
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+    """All documents without the lines that ten or more sources share; as in its
+    SQL, a document with more than MAX_SHARE of such characters is left whole."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), max_share=line_dedup.MAX_SHARE).select(
         "doc_id", "n_lines", "n_removed", "removed_chars", "text")
 
 

@@ -31,6 +31,16 @@ def test_boilerplate_by_distinct_sites(spark):
     assert removed[0] == 2 and removed[27] == 2 and removed[30] == 1 and removed[41] == 0 and removed[i] == 0
 
 
+def test_boilerplate_that_outweighs_the_text_is_removed(spark):
+    menu = prose(1, 60)
+    rows = [(s, f"{menu}\nown {s}\n{menu}", f"site{s}") for s in range(12)] + [(99, f"{menu}\n\n{menu}", "site0")]
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert all(out[s].text == f"own {s}" and out[s].n_removed == 2 and not out[s].left_whole for s in range(12))
+    assert out[99].text == rows[-1][1] and out[99].n_removed == 0 and out[99].left_whole     # nothing of its own
+    docs = documents(spark, rows)
+    assert run(docs, max_share=line_dedup.MAX_SHARE) == by_sql(docs)
+
+
 def test_exact_counts_near_the_threshold(spark):
     rows = [(s, f"line {n}\n" + prose(s, 9), f"site{s}") for n in range(97, 104) for s in range(n)]
     lines = line_dedup.line_table(documents(spark, rows))
