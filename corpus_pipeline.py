@@ -54,8 +54,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL can express neither tokenisation nor MinHash classes; tests/llm checks
-#: the pipeline against a brute-force version.
+#: SQL can express neither tokenisation nor MinHash classes. The stages are tested
+#: one by one in tests/llm; no test runs them as a chain yet.
 ORACLE_SQL = None
 
 
