@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, minhash, mixing, ngram_lm, packing, quality_model, quality_rules, sql
+from . import ann, line_dedup, merkle, minhash, mixing, ngram_lm, packing, quality_model, quality_rules, sql
 from . import substring_dedup, url_lists
 
 
@@ -111,6 +111,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and checked proof of every document."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
@@ -122,6 +127,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -130,4 +136,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_substring_dedup": sql.OP4,
     "op5_url_lists": sql.OP5,
     "op8_mixing": sql.OP8,
+    "op13_merkle_manifest": sql.OP13,
 }

@@ -117,3 +117,61 @@ WITH pages2 AS (
 SELECT page_id, url, f AS fetched_s, coalesce(blocked_by, '') AS blocked_by, blocked_by IS NULL AS allowed
 FROM numbered LEFT JOIN hits USING (n)
 """
+
+
+_SHIFT = ", ".join(["-1"] * 8)
+_CRC32 = f"""xor(list_reduce(flatten(list_prepend([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda x: [CAST(ord(x) AS BIGINT), {_SHIFT}]))), lambda c, o: CASE WHEN o >= 0 THEN xor(c, o)
+  ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"""
+#: Levels written out: trees of up to 16 ** 8 leaves.
+_LEVELS = 8
+
+
+def _tree(name: str, key: str) -> str:
+    """Nodes and runs of a tree per key above {name}0 (key, i, h, c)."""
+    parts = []
+    for k in range(_LEVELS):
+        parts.append(f"""{name}r{k} AS MATERIALIZED (
+  SELECT {key}, i // 16 AS i, string_agg(h, '' ORDER BY i) AS run, any_value(c) AS c FROM {name}{k} GROUP BY {key}, i // 16
+), {name}{k + 1} AS MATERIALIZED (SELECT {key}, i, CASE WHEN c = 1 THEN run ELSE sha256(run) END AS h, (c + 15) // 16 AS c FROM {name}r{k}
+)""")
+    return ", ".join(parts)
+
+
+def _fold(start: str, tree: str, key: str, at: str, out: str) -> str:
+    """{out}: {start} folded and its siblings collected through the levels of a tree."""
+    parts, last = [], start
+    for k in range(_LEVELS):
+        slot = f"CAST(64 * ((d.{at} // {16 ** k}) % 16) AS BIGINT)"
+        left, right = f"substr(t.run, 1, {slot})", f"substr(t.run, {slot} + 65)"
+        parts.append(f"""{out}{k} AS MATERIALIZED (
+  SELECT d.* EXCLUDE (f, p), CASE WHEN t.c = 1 THEN f ELSE sha256({left} || f || {right}) END AS f,
+         CASE WHEN t.c = 1 THEN p ELSE p || {left} || {right} END AS p
+  FROM {last} d JOIN {tree}r{k} t ON t.{key} IS NOT DISTINCT FROM d.{key} AND t.i = d.{at} // {16 ** (k + 1)}
+)""")
+        last = f"{out}{k}"
+    return ", ".join(parts)
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+                                   for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP13 = f"""
+WITH leaves AS MATERIALIZED (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC32} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS seen
+  FROM documents
+), d AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS c FROM leaves
+), n0 AS (SELECT source, i, leaf AS h, c FROM d
+), {_tree("n", "source")}, s0 AS MATERIALIZED (
+  SELECT 0 AS one, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, h, count(*) OVER () AS c FROM n{_LEVELS}
+), {_tree("s", "one")}, start AS (
+  SELECT d.doc_id, d.source, d.leaf, d.i, s0.i AS j, 0 AS one, s0.h AS subroot, coalesce(d.seen, d.leaf) AS f, '' AS p
+  FROM d JOIN s0 ON s0.source IS NOT DISTINCT FROM d.source
+), {_fold("start", "n", "source", "i", "a")}, {_fold(f"a{_LEVELS - 1}", "s", "one", "j", "b")}
+SELECT doc_id, leaf, subroot, s{_LEVELS}.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = s{_LEVELS}.h AS verified
+FROM b{_LEVELS - 1}, s{_LEVELS}
+"""
