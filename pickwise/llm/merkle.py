@@ -144,11 +144,9 @@ def sides(run: Column, slot: Column, c: Column) -> Column:
         .otherwise(F.array().cast("array<struct<left:string,right:string>>"))
 
 
-def with_paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
-    """The lowest runs with up, the sides on the way from the run to the top, and
-    the other columns of above (g, up, ...), which holds the way on from each g's root."""
-    rest = [c for c in above.columns if c not in ("g", "up")]
-    found = levels[-1].join(above, "g")
+def with_paths(levels: list[DataFrame], found: DataFrame, *rest: str) -> DataFrame:
+    """The lowest runs with up, the sides on the way from the run to the top, and the
+    columns rest; found is the highest level with up (the way on from each g's root) and rest."""
     for level in reversed(levels[:-1]):
         parent = found.select("g", F.col("r").alias("p"), joined().alias("run"), F.col("c").alias("pc"), "up", *rest)
         found = level.withColumn("p", F.shiftright("r", RUN_BITS)).join(parent, ["g", "p"]).withColumn(
@@ -178,10 +176,10 @@ def manifest(docs: DataFrame) -> DataFrame:
     n = sources.count()
     tree = reduce_levels(sources.select(F.lit("").alias("g"), F.lit(n).cast("long").alias("c"), "idx", "h", F.col("g").alias("source")), n, "source")
     root = tree[-1].first().h
-    top = spark.range(1).select(F.lit("").alias("g"), F.array().cast("array<struct<left:string,right:string>>").alias("up"))
+    top = tree[-1].withColumn("up", F.array().cast("array<struct<left:string,right:string>>"))
     above = own_paths(with_paths(tree, top), "source", "h").select(
         F.col("source").alias("g"), F.col("path").alias("up"), F.col("h").alias("subroot"))
-    out = own_paths(with_paths(levels, above), "doc_id", "h", "seen", keep=("subroot",))
+    out = own_paths(with_paths(levels, levels[-1].drop("h").join(above, "g"), "subroot"), "doc_id", "h", "seen", keep=("subroot",))
     folded = F.aggregate("path", F.coalesce("seen", "h"), lambda h, x: F.sha2(F.concat(x.left, h, x.right), 256))
     proof = F.array_join(F.transform("path", lambda x: F.concat(x.left, x.right)), "")
     return out.select("doc_id", F.col("h").alias("leaf"), "subroot", F.lit(root).alias("root"), F.sha2(proof, 256).alias("proof_sha256"),

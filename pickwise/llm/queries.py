@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, merkle, minhash, mixing, ngram_lm, packing, quality_model, quality_rules, sql
-from . import substring_dedup, url_lists
+from . import ann, lexical_search, line_dedup, merkle, minhash, mixing, ngram_lm, packing, quality_model, quality_rules, sql
+from . import substring_dedup, toxicity, url_lists
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probability of every document, learned outside the held-out fold."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and checked proof of every document."""
     return merkle.manifest(_table(spark, sf_dir, "documents"))
@@ -127,6 +137,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
+    "op11_toxicity": op11_toxicity,
+    "op12_lexical_search": op12_lexical_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -136,5 +148,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_substring_dedup": sql.OP4,
     "op5_url_lists": sql.OP5,
     "op8_mixing": sql.OP8,
+    "op12_lexical_search": sql.OP12,
     "op13_merkle_manifest": sql.OP13,
 }

@@ -175,3 +175,26 @@ WITH leaves AS MATERIALIZED (
 SELECT doc_id, leaf, subroot, s{_LEVELS}.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = s{_LEVELS}.h AS verified
 FROM b{_LEVELS - 1}, s{_LEVELS}
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP12 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS a FROM documents
+), tfs AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(a) AS term FROM d) GROUP BY r, term
+), sizes AS MATERIALIZED (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY r
+), total AS MATERIALIZED (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), weights AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total
+), items AS (
+  SELECT i, item_id, term, count(*) AS times
+  FROM (SELECT i, item_id, unnest(a) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS a FROM benchmark)) GROUP BY ALL
+), scored AS (
+  SELECT i, item_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (r), total GROUP BY i, item_id, r
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank, doc_id, score
+  FROM scored JOIN d USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
