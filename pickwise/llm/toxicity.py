@@ -40,9 +40,9 @@ BUCKETS = 1 << 20
 #: Bounds of the training sample: documents of each class, bytes of one text.
 TRAIN_DOCS, TRAIN_BYTES = 2000, 32768
 #: Texts of a class that must have a feature for it to count.
-LEAST_TEXTS, LEAST_RATIO = 5, 1.0
+LEAST_TEXTS, LEAST_RATIO = 4, 0.7
 #: Passes over the sample, and the weight of the absolute penalty.
-PASSES, PENALTY = 120, 1e-3
+PASSES, PENALTY = 250, 1e-3
 #: Bytes scored at once.
 SCORE_BYTES = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -87,7 +87,8 @@ def grams(codes: np.ndarray, starts: np.ndarray, useful: np.ndarray | None = Non
         at = np.flatnonzero(ok)
         found.append(bucket[at])
         docs.append(np.searchsorted(starts, at, side="right") - 1)
-    key = np.unique(np.concatenate(docs) * BUCKETS + np.concatenate(found))
+    key = np.sort(np.concatenate(docs) * BUCKETS + np.concatenate(found))
+    key = key[np.concatenate((np.ones(min(1, len(key)), dtype=bool), key[1:] != key[:-1]))]
     return key & (BUCKETS - 1), key >> (BUCKETS.bit_length() - 1)
 
 
