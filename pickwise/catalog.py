@@ -17,6 +17,7 @@ from .functions.ranking import with_global_index
 from .operators import combine as cmb
 from .operators import prepare as prep
 from .operators import regret, serve, split, summaries
+from .operators.tree_serve import best_plant_trees, ensemble_of
 from .plans import cv, gram
 from .plans.models import FittedModel, fit_model
 from .plans.run import SelectionOptions, run_selection
@@ -242,9 +243,9 @@ def q_selection_quality(spark, sf):
 
 def q_cumulative_rmse(spark, sf):
     scen = scenario(spark, sf).filter(F.col("Selection_Error").isNotNull())
-    folds = with_global_index(scen.select("Demand_ID", "Selection_Error"), ["Demand_ID"], "i")
-    folds = folds.select((F.col("i") + 1).cast("int").alias("Fold"), "Selection_Error")
-    return rounded(regret.cumulative_rmse(folds))
+    # One sort numbers the folds (ascending demand) and gives their running RMSE.
+    run = regret.cumulative_rmse(scen.select("Demand_ID", "Selection_Error"), fold="Demand_ID", number="Fold")
+    return rounded(run.drop("Demand_ID"))
 
 
 def q_leaderboard_rank(spark, sf):
@@ -335,6 +336,32 @@ def q_serve_best_plant(spark, sf):
     return rounded(out)
 
 
+# A small fixed ensemble over raw features (fixed values): per tree its nodes in
+# order (id, value, left, right, feature, threshold), and its weight.
+SERVE_TREES = [
+    ([(0, 0, 1, 2, "DF1", 3000), (1, 0, 3, 4, "PF1", 4000), (2, 0, 5, 6, "PF3", 25.5),
+      (3, 10, -1, -1, "", 0), (4, 14, -1, -1, "", 0), (5, 9, -1, -1, "", 0), (6, 13, -1, -1, "", 0)], 1.0),
+    ([(0, 0, 1, 2, "PF1", 1000), (1, 0, 3, 4, "DF3", 9), (2, 0, 5, 6, "PF1", 7000),
+      (3, 3, -1, -1, "", 0), (4, 7, -1, -1, "", 0), (5, 5, -1, -1, "", 0), (6, 2, -1, -1, "", 0)], 0.5),
+    ([(0, 0, 1, 2, "DF2", 150000), (1, 0, 3, 4, "PF4", 0.05), (2, 0, 5, 6, "PF3", 25.4),
+      (3, 1, -1, -1, "", 0), (4, 4, -1, -1, "", 0), (5, 6, -1, -1, "", 0), (6, 2.5, -1, -1, "", 0)], 0.25),
+    ([(0, 0, 1, 2, "PF3", 25.6), (1, 0.5, -1, -1, "", 0), (2, 1.25, -1, -1, "", 0)], 0.1),
+]
+
+
+def serve_ensemble():
+    features = ["DF1", "DF2", "DF3", "PF1", "PF3", "PF4"]
+    nodes = [(t, i, float(v), left, right, features.index(f) if f else -1, float(cut))
+             for t, (tree, _) in enumerate(SERVE_TREES) for i, v, left, right, f, cut in tree]
+    return ensemble_of(nodes, features, {t: w for t, (_, w) in enumerate(SERVE_TREES)})
+
+
+def q_serve_best_plant_trees(spark, sf):
+    """I2/L6 through a fixed tree ensemble: cells and boxes instead of all pairs."""
+    d, p, _ = inputs(spark, sf)
+    return rounded(best_plant_trees(serve_ensemble(), d, p, plant_info=["region"]).picks)
+
+
 def q_serve_pair_cost(spark, sf):
     model, d, p, c = fitted(spark, sf)
     dd, pp = model.transform_demand(d), model.transform_plants(p, only_good=False)
@@ -351,7 +378,7 @@ def q_group_gram(spark, sf):
 # ----------------------------------------------- model queries (rows check)
 
 def q_serve_best_plant_forest(spark, sf):
-    """I2 through a forest: every demand against every plant, in blocks."""
+    """I2 through a fitted forest."""
     model, d, p, c = fitted(spark, sf)
     comb = cv.materialize(cmb.combine(*model.transform(d, p, c), model.demand_features, model.plant_features))
     m = fit_model("random_forest", {"n_estimators": 5, "max_depth": 4}, SEED, comb, model.all_features)
@@ -458,6 +485,7 @@ QUERIES = {
     "prediction_pairs_bounds": q_prediction_pairs_bounds,
     "position_lookup": q_position_lookup,
     "serve_best_plant": q_serve_best_plant,
+    "serve_best_plant_trees": q_serve_best_plant_trees,
     "serve_pair_cost": q_serve_pair_cost,
     "serve_best_plant_forest": q_serve_best_plant_forest,
     "group_gram": q_group_gram,

@@ -1,6 +1,6 @@
 """Quantiles with linear interpolation (numpy's default, pandas' ``quantile``).
 
-Three ways, same meaning:
+Four ways, same meaning:
 
 * ``exact``  - Spark's ``percentile`` aggregate. Exact and partially
   aggregated, but its buffer is a value->count map per group, so one group's
@@ -9,7 +9,9 @@ Three ways, same meaning:
   ``1/accuracy``); bounded memory for any group size.
 * ``sorted`` - exact and skew-safe: a global sort on (group, value), then the
   two rows around the quantile position of each group are picked by their
-  global position (see ``ranking``). No group is ever held by one task (default).
+  global position (see ``ranking``). No group is ever held by one task.
+* ``selected`` - exact and skew-safe without a sort: mergeable sketches bracket
+  each wanted rank, a second aggregated pass counts (see ``selection``; default).
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import with_global_index
+from .selection import selected_quantiles
 
-METHODS = ("exact", "approx", "sorted")
-DEFAULT_METHOD = "sorted"
+METHODS = ("exact", "approx", "sorted", "selected")
+DEFAULT_METHOD = "selected"
 
 
 def quantile_expr(value: str | Column, q: float, method: str = "exact",
@@ -40,6 +43,8 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     null values are skipped, groups without values are absent."""
     if method not in METHODS:
         raise ValueError(f"unknown quantile method {method!r}")
+    if method == "selected":
+        return selected_quantiles(df, keys, value, qs)
     present = df.filter(F.col(value).isNotNull())
     if method != "sorted":
         grouped = present.groupBy(*keys) if keys else present

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
 from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
+from ..functions.reuse import reusable
 from ..session import ensure_checkpoint_dir
 
 STRATEGIES = ("mean", "median", "zero")
@@ -30,7 +31,7 @@ def fill_stats(df: DataFrame, features: list[str], strategy: str,
     if strategy == "mean":
         return df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features])
     if strategy == "median":
-        if quantile_method == "sorted":
+        if quantile_method not in ("exact", "approx"):
             long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v"))
                                                  for c in features])).alias("fv")).select("fv.f", "fv.v")
             med = grouped_quantiles(long, ["f"], "v", {"m": 0.5}, quantile_method)
@@ -144,7 +145,8 @@ def plant_cost_stats(costs: DataFrame, plant_key: str = "plant_id", cost: str =
     of the non-missing costs. Plants whose costs are all missing get null
     median/mean and count 0. Rows without a plant key are ignored."""
     keyed = costs.filter(F.col(plant_key).isNotNull()).select(plant_key, cost)
-    if quantile_method == "sorted":
+    if quantile_method not in ("exact", "approx"):
+        keyed = reusable(keyed)     # read by the plain aggregates and by the selection
         basic = keyed.groupBy(plant_key).agg(F.avg(cost).alias("mean_cost"), F.count(cost).alias("n_costs"))
         med = grouped_quantiles(keyed, [plant_key], cost, {"median_cost": 0.5}, quantile_method)
         return basic.join(med, plant_key, "left").select(plant_key, "median_cost", "mean_cost", "n_costs")
@@ -158,7 +160,7 @@ def cost_threshold(stats: DataFrame, percentile: float = 75.0, quantile_method:
     """A2: one row, ``threshold`` = the percentile/100 quantile (linear) of the
     plant medians."""
     q = float(percentile) / 100.0
-    if quantile_method == "sorted":
+    if quantile_method not in ("exact", "approx"):
         return grouped_quantiles(stats, [], "median_cost", {"threshold": q}, quantile_method)
     return stats.agg(quantile_expr("median_cost", q, quantile_method).alias("threshold"))
 
@@ -211,15 +213,17 @@ class Preprocessor:
         else:
             dscaler = fit_scaler(impute(demand, dfeat, fit_fill, self.quantile_method), dfeat)
         pscaler = fit_scaler(plants, pfeat)
-        # The per-plant statistics (one row per plant) are written once to the
-        # checkpoint folder: the cut-off and every later transform read them
-        # instead of recomputing them from the cost table.
+        return PreprocessModel(self, dfeat, pfeat, dscaler, pscaler, costs=costs)
+
+    def plant_cut(self, costs: DataFrame) -> tuple[float | None, DataFrame]:
+        """A1-A3: the cut-off and the flagged plants. The per-plant statistics (one
+        row per plant) are written once to the checkpoint folder: the cut-off and
+        every later transform read them."""
         ensure_checkpoint_dir(costs.sparkSession)
         stats = plant_cost_stats(costs, self.plant_key, self.cost, self.quantile_method).checkpoint(eager=True)
-        thr_row = cost_threshold(stats, self.plant_filter_percentile, self.quantile_method).first()
-        threshold = thr_row["threshold"] if thr_row is not None else None
-        flags = plant_flags(stats, F.lit(threshold).cast("double"))
-        return PreprocessModel(self, dfeat, pfeat, dscaler, pscaler, threshold, flags)
+        row = cost_threshold(stats, self.plant_filter_percentile, self.quantile_method).first()
+        threshold = row["threshold"] if row is not None else None
+        return threshold, plant_flags(stats, F.lit(threshold).cast("double"))
 
 
 @dataclass
@@ -229,10 +233,24 @@ class PreprocessModel:
     plant_features: list[str]
     demand_scaler: ScalerParams
     plant_scaler: ScalerParams
-    threshold: float | None
-    flags: DataFrame
+    cut: tuple[float | None, DataFrame] | None = None
+    costs: DataFrame | None = None
     extra: dict = field(default_factory=dict)
 
+    def _plant_cut(self) -> tuple[float | None, DataFrame]:
+        # Serving and scaling never ask for it, so it is computed on first use.
+        if self.cut is None:
+            self.cut = self.settings.plant_cut(self.costs)
+        return self.cut
+
+    @property
+    def threshold(self) -> float | None:
+        return self._plant_cut()[0]
+
+    @property
+    def flags(self) -> DataFrame:
+        return self._plant_cut()[1]
+
     @property
     def all_features(self) -> list[str]:
         return self.demand_features + self.plant_features
@@ -299,5 +317,5 @@ class PreprocessModel:
                                 meta["demand_prefix"], meta["plant_prefix"], meta["quantile_method"])
         return PreprocessModel(settings, meta["demand_features"], meta["plant_features"],
                                params("demand", meta["demand_features"]),
-                               params("plant", meta["plant_features"]), meta["threshold"],
-                               spark.read.parquet(f"{path}/plant_flags"))
+                               params("plant", meta["plant_features"]),
+                               (meta["threshold"], spark.read.parquet(f"{path}/plant_flags")))

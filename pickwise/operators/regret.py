@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import safe_ratio
 from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
 from ..functions.ranking import with_running_sums
+from ..functions.reuse import reusable
 from .combine import COST, DEMAND, PLANT
 
 SCENARIO_COLUMNS = ["Demand_ID", "Model_Selected_Plant", "Oracle_Selected_Plant",
@@ -73,7 +74,8 @@ def error_stats(errors: DataFrame, err: str = "Selection_Error", group: list[str
         aggs.append(quantile_expr(err, 0.5, quantile_method).alias("median"))
         out = src.groupBy(*keep).agg(*aggs) if keep else src.agg(*aggs)
     else:
-        med = grouped_quantiles(src.select(*keep, err), keep, err, {"median": 0.5}, quantile_method)
+        src = reusable(src.select(*keep, err))
+        med = grouped_quantiles(src, keep, err, {"median": 0.5}, quantile_method)
         if keep:
             out = src.groupBy(*keep).agg(*aggs).join(med, keep, "left")
         else:
@@ -127,12 +129,14 @@ def best_combo(summary: DataFrame, combo: str = "combo_idx") -> DataFrame:
                  F.struct(F.col("mean_rmse"), F.col(combo))).alias("b")).select("b.*")
 
 
-def cumulative_rmse(folds: DataFrame, fold: str = "Fold", err: str = "Selection_Error") -> DataFrame:
+def cumulative_rmse(folds: DataFrame, fold: str = "Fold", err: str = "Selection_Error", number: str | None = None) -> DataFrame:
     """RMSE over folds 1..i for every i (linear, not quadratic: one
-    running sum of squared errors over the fold order)."""
+    running sum of squared errors over the fold order). ``number`` adds the
+    fold's place 1..n in that order."""
     sq = folds.select(fold, err).withColumn("__sq", F.col(err) * F.col(err))
     run = with_running_sums(sq, [fold], {"__run_sq": "__sq"}, "__i")
-    return run.select(F.col(fold), F.col(err),
+    numbered = [(F.col("__i") + 1).cast("int").alias(number)] if number else []
+    return run.select(F.col(fold), *numbered, F.col(err),
                       F.sqrt(F.col("__run_sq") / (F.col("__i") + 1)).alias("cumulative_rmse"))
 
 

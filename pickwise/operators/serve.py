@@ -4,9 +4,10 @@ For a linear model the prediction splits into a demand part and a plant part,
 ``b + w_d . x_d + w_p . x_p``; the demand part is the same for every plant,
 so the cheapest plant is the plant with the smallest ``w_p . x_p`` - one
 aggregate over the plants, no (demand x plant) pairs. Models without that
-split (trees) must score every candidate of a demand; that path deals demands
-and candidates into blocks, joins block with block and keeps the lowest
-prediction of a demand by partial aggregation, for tables of any size.
+split need more. Tree ensembles are searched by cells and boxes of their
+thresholds (``tree_serve``). Any other model must score every candidate of a
+demand (``best_plant_scored``): demands and candidates are dealt into blocks, block
+meets block and the lowest prediction of a demand is kept by partial aggregation.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import with_global_index
 from ..functions.reuse import reusable
 from .combine import first_per_key
+from .tree_serve import best_plant_trees, model_ensemble
 
 #: Rows of one block of demands or candidates in the search of non-linear models.
 BLOCK_ROWS = 2000
@@ -67,7 +69,8 @@ def best_plant_scored(model, demands: DataFrame, plants: DataFrame, demand_key:
     theirs = [f for f in model.features if f in plants.columns]
     demands = reusable(demands.select(demand_key, *mine))
     plants = reusable(plants.select(plant_key, *info, *theirs).na.drop(subset=[plant_key, *theirs]))
-    known = demands.na.drop(subset=[demand_key, *mine]).dropDuplicates([demand_key])
+    known = first_per_key(demands.na.drop(subset=[demand_key, *mine]), demand_key, mine) if mine else \
+        demands.na.drop(subset=[demand_key]).distinct()
     slices = max(1, math.ceil(known.count() / block_rows))
     blocks = max(1, math.ceil(plants.count() / block_rows))
     # Block pair (s, b): a slice of the demands meets a block of the candidates.
@@ -103,6 +106,9 @@ def best_plant(model, prep, demands: DataFrame, plants: DataFrame, candidates: s
     if terms is not None:
         b, w = terms
         out = best_plant_linear(d, p, b, w, prep.demand_features, prep.plant_features, "__dk", "__pk", plant_info)
+    elif model.model_type in ("random_forest", "gradient_boosting"):
+        found = best_plant_trees(model_ensemble(model, d.sparkSession), d, p, "__dk", "__pk", plant_info)
+        out = found.picks.withColumn("feature_count", F.lit(len(model.features)))
     else:
         out = best_plant_scored(model, d, p, "__dk", "__pk", plant_info)
     return out.withColumnRenamed("__dk", s.demand_key)

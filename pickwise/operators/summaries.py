@@ -24,6 +24,7 @@ def plant_performance(costs: DataFrame, plant: str = "plant_id", cost: str = "co
         return keyed.groupBy(plant).agg(
             F.avg(c).alias("mean_cost"), quantile_expr(cost, 0.5, quantile_method).alias("median_cost"),
             F.stddev_samp(c).alias("std_cost"), F.count(c).alias("n_costs"))
+    keyed = reusable(keyed.select(plant, cost))
     basic = keyed.groupBy(plant).agg(F.avg(c).alias("mean_cost"), F.stddev_samp(c).alias("std_cost"),
                                      F.count(c).alias("n_costs"))
     med = grouped_quantiles(keyed.select(plant, cost), [plant], cost, {"median_cost": 0.5}, quantile_method)

@@ -326,6 +326,17 @@ pairs AS (SELECT demand_id, plant_id, region, dscore + pscore AS pr FROM ds, ps)
 SELECT demand_id, arg_min(plant_id, (pr, plant_id)) AS selected_plant, arg_min(region, (pr, plant_id)) AS region,
   round(min(pr), 6) AS raw_prediction, 8 AS feature_count
 FROM pairs GROUP BY demand_id"""
+    q["serve_best_plant_trees"] = p + """, pairs AS (
+  SELECT demand_id, plant_id, region,
+    CASE WHEN DF1 <= 3000 THEN CASE WHEN PF1 <= 4000 THEN 10 ELSE 14 END ELSE CASE WHEN PF3 <= 25.5 THEN 9 ELSE 13 END END
+    + 0.5::DOUBLE * CASE WHEN PF1 <= 1000 THEN CASE WHEN DF3 <= 9 THEN 3 ELSE 7 END ELSE CASE WHEN PF1 <= 7000 THEN 5 ELSE 2 END END
+    + 0.25::DOUBLE * CASE WHEN DF2 <= 150000 THEN CASE WHEN PF4 <= 0.05 THEN 1 ELSE 4 END ELSE CASE WHEN PF3 <= 25.4 THEN 6 ELSE 2.5 END END
+    + 0.1::DOUBLE * CASE WHEN PF3 <= 25.6 THEN 0.5 ELSE 1.25 END AS pr
+  FROM fx_demands, fx_plants
+  WHERE DF1 IS NOT NULL AND DF2 IS NOT NULL AND DF3 IS NOT NULL AND PF1 IS NOT NULL AND PF3 IS NOT NULL AND PF4 IS NOT NULL),
+picks AS (SELECT demand_id, arg_min(plant_id, (pr, plant_id)) AS selected_plant, arg_min(region, (pr, plant_id)) AS region,
+  round(min(pr), 6) AS raw_prediction FROM pairs GROUP BY demand_id)
+SELECT demand_id, selected_plant, region, raw_prediction FROM fx_demands LEFT JOIN picks USING (demand_id)"""
     q["serve_pair_cost"] = p + f"""SELECT c.demand_id, c.plant_id, round({SERVE_ALL}, 6) AS prediction
 FROM fx_costs c JOIN d_std d ON c.demand_id = d.demand_id JOIN p_std p ON c.plant_id = p.plant_id"""
     q["group_gram"] = p + _gram_select()
