@@ -7,8 +7,7 @@ at or above ``min_sites`` is boilerplate, and one whose estimate lies within
 ``margin`` of it gets an exact distinct count of its sites. Boilerplate lines are
 removed from every document that has lines of its own. A document of boilerplate
 lines only is a copy, which near-duplicate removal judges as a whole: it is left
-as it is and flagged in ``left_whole``. With ``max_share`` a document in which
-boilerplate makes up more than that share of the characters is left whole too.
+as it is and flagged in ``left_whole``.
 
 Skew: sketches and counts are partially aggregated before they are shuffled, and
 lines meet the (written) table of boilerplate hashes in a plain equi-join that
@@ -33,9 +32,6 @@ MIN_SITES = 10
 #: relative standard error is 1.04 / sqrt(2 ** LG_K) = 3.3 %, so this is 7 of them.
 MARGIN = 0.25
 LG_K = 10
-#: The registered query and its SQL leave documents with a larger share of
-#: boilerplate characters whole; the operator and the pipeline do not.
-MAX_SHARE = 0.5
 BLANK = " \t\r\v\f"
 
 
@@ -71,8 +67,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MA
     return sure.union(exact)
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K,
-                max_share: float | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
     """docs with its text cleaned, and n_lines, n_removed, removed_chars, left_whole.
 
     ``n_removed`` is 0 in a document that is left whole although it has boilerplate."""
@@ -86,8 +81,6 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
     removed = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + F.when(x.bad, x.chars).otherwise(0))
     whole = F.aggregate("flags", F.lit(0).cast("long"), lambda a, x: a + x.chars)
     cleaned = F.col("removed_chars") < whole
-    if max_share is not None:
-        cleaned = cleaned & (F.col("removed_chars") <= F.lit(max_share) * whole)
     per_doc = lookup_table(per_doc.withColumn("removed_chars", removed).withColumn("cleaned", cleaned).select(
         "kd", "kt", "ku", "cleaned", F.when(F.col("cleaned"), F.col("removed_chars")).alias("removed_chars"),
         F.when(F.col("cleaned"), F.transform("flags", lambda x: x.bad)).alias("bad")))

@@ -25,9 +25,9 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines that ten or more sources share; as in its
-    SQL, a document with more than MAX_SHARE of such characters is left whole."""
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), max_share=line_dedup.MAX_SHARE).select(
+    """All documents without the lines that ten or more sources share; a document
+    without other lines is left whole."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "removed_chars", "text")
 
 
@@ -37,9 +37,9 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of all documents that repeats an earlier ranked one, with its
-    offsets and the document that keeps it."""
-    return substring_dedup.repeated_spans(_table(spark, sf_dir, "documents")).drop("row_id")
+    """Per document what is cut as a repetition of earlier ranked text: the number of spans,
+    their words and characters, and each as start:length:first_doc_id."""
+    return substring_dedup.document_spans(substring_dedup.unit_table(_table(spark, sf_dir, "documents"))).drop("row_id")
 
 
 #: Dates that the pages table lacks are derived from hashes, within a year from here (2024-01-01 UTC).

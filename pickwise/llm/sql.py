@@ -20,9 +20,9 @@ WITH docs AS MATERIALIZED (
   FROM bare LEFT JOIN bad ON bare.b = bad.b GROUP BY r
 )
 SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-       CAST(CASE WHEN bad_chars <= {line_dedup.MAX_SHARE} * chars THEN n_bad ELSE 0 END AS BIGINT) AS n_removed,
-       CAST(CASE WHEN bad_chars <= {line_dedup.MAX_SHARE} * chars THEN bad_chars ELSE 0 END AS BIGINT) AS removed_chars,
-       CASE WHEN n_bad > 0 AND bad_chars <= {line_dedup.MAX_SHARE} * chars THEN kept ELSE text END AS text
+       CAST(CASE WHEN bad_chars < chars THEN n_bad ELSE 0 END AS BIGINT) AS n_removed,
+       CAST(CASE WHEN bad_chars < chars THEN bad_chars ELSE 0 END AS BIGINT) AS removed_chars,
+       CASE WHEN n_bad > 0 AND bad_chars < chars THEN kept ELSE text END AS text
 FROM docs LEFT JOIN per_doc USING (r)
 """
 
@@ -65,23 +65,34 @@ FROM ranked
 OP4 = f"""
 WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
-), lines AS (
-  SELECT r, doc_id, unnest(range(len(a))) AS pos, unnest(a) AS line FROM (SELECT r, doc_id, string_split(text, chr(10)) AS a FROM docs)
+), parts AS (
+  SELECT r, doc_id, unnest(range(len(a))) AS pos, unnest(a) AS part
+  FROM (SELECT r, doc_id, regexp_extract_all(text, '{substring_dedup.UNIT}') AS a FROM docs)
 ), placed AS (
-  SELECT r, doc_id, line, length(line) AS length,
-         coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         regexp_extract_all(line, '[^\\s]+') AS w
-  FROM lines
-), units AS (
-  SELECT r, doc_id, start, length, len(w) AS words, lower(array_to_string(w, ' ')) AS unit FROM placed WHERE len(w) >= {substring_dedup.MIN_WORDS}
+  SELECT r, doc_id, pos, length(part) AS length, regexp_extract_all(part, '[^\\x20\\x09-\\x0D]+') AS w,
+         coalesce(sum(length(part)) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM parts
+), units AS MATERIALIZED (
+  SELECT r, doc_id, start, length, len(w) AS words, row_number() OVER (PARTITION BY r ORDER BY pos) AS nth,
+         translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS unit
+  FROM placed WHERE len(w) >= {substring_dedup.UNIT_WORDS}
 ), ranked AS (
-  SELECT *, row_number() OVER o AS nth, count(*) OVER (PARTITION BY unit) AS occurrences,
-         first_value(doc_id) OVER o AS first_doc_id, first_value(start) OVER o AS first_start
+  SELECT *, row_number() OVER o AS occurrence, first_value(doc_id) OVER o AS first_doc_id
   FROM units WINDOW o AS (PARTITION BY unit ORDER BY doc_id NULLS LAST, r, start)
+), islands AS (
+  SELECT *, nth - row_number() OVER (PARTITION BY r ORDER BY nth) AS island FROM ranked WHERE occurrence > 1
+), spans AS (
+  SELECT r, min(start) AS start, max(start + length) - min(start) AS length, sum(words) AS words, arg_min(first_doc_id, nth) AS first_doc_id
+  FROM islands GROUP BY r, island HAVING sum(words) >= {substring_dedup.RUN_WORDS}
+), per_doc AS (
+  SELECT r, count(*) AS n_spans, sum(words) AS removed_words, sum(length) AS removed_chars,
+         string_agg(start || ':' || length || ':' || coalesce(CAST(first_doc_id AS VARCHAR), '-'), ' ' ORDER BY start) AS spans
+  FROM spans GROUP BY r
 )
-SELECT doc_id, CAST(start AS BIGINT) AS start, length, CAST(words AS BIGINT) AS words, first_doc_id,
-       CAST(first_start AS BIGINT) AS first_start, occurrences
-FROM ranked WHERE nth > 1
+SELECT doc_id, CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_words, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars,
+       n_spans IS NOT NULL AS changed, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_doc USING (r)
 """
 
 _HASH = "(CAST(('0x' || substr(md5({0} || ':{1}'), 1, 13)) AS BIGINT) % {2})"

@@ -9,6 +9,7 @@ slice (or one single document), not the batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..functions.reuse import materialize
+from ..session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once (a longer document is a slice of its own).
 SLICE_BYTES = 2 << 20
@@ -24,6 +26,13 @@ _P = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A table written (as Parquet, so compressed) to the shared checkpoint folder and reread."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def lookup_table(df: DataFrame) -> DataFrame:
     """A written table to join large tables with. It forgets how its rows were
     dealt, so that a join deals both sides and adaptive execution can
