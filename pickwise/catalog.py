@@ -8,6 +8,8 @@ across engines; column names equal those of the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +23,9 @@ from .operators.tree_serve import best_plant_trees, ensemble_of
 from .plans import cv, gram
 from .plans.models import FittedModel, fit_model
 from .plans.run import SelectionOptions, run_selection
+from .session import ensure_checkpoint_dir
 from .sources import fixtures as fx
-from .sources import sinks
+from .sources import ingest, sinks
 
 SEED = 1072002
 TEST_FRACTION = 0.05
@@ -169,9 +172,8 @@ def q_combined_dataset(spark, sf):
 def q_combined_counts(spark, sf):
     model, d, p, c = fitted(spark, sf)
     dd, pp, cc = model.transform(d, p, c)
-    before = cmb.combine(dd, pp, cc, model.demand_features, model.plant_features, drop_missing=False)
-    after = before.na.drop(how="any")
-    return cmb.combined_counts(after, before)
+    flagged = cmb.combine(dd, pp, cc, model.demand_features, model.plant_features, flag="complete")
+    return cmb.counts_in_passing(flagged, "complete")
 
 
 def q_group_key(spark, sf):
@@ -210,6 +212,82 @@ def q_orphan_counts(spark, sf):
     return cmb.orphan_counts(d.filter("DF1 >= 0"), p.filter("PF1 >= 0"), c)
 
 
+def accounting_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as text cells; a debt is written the way accountants do, ``(1234 cents)``."""
+    cust = fx.table(spark, sf, "customer")
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
+    money = F.when(cents < 0, F.concat(F.lit("("), (-cents).cast("string"), F.lit(" cents)"))).otherwise(cents.cast("string"))
+    return cust.select(F.col("c_custkey").cast("string").alias("demand_id"), "c_mktsegment", money.alias("DF1"), F.col("c_nationkey").cast("string").alias("DF4"))
+
+
+ACCOUNTING = T.StructType([T.StructField("demand_id", T.LongType()), T.StructField("c_mktsegment", T.StringType()),
+                           T.StructField("DF1", T.DoubleType()), T.StructField("DF4", T.DoubleType())])
+
+
+def q_ingest_rejects(spark, sf):
+    """The cells that are not numbers, by row and column."""
+    return ingest.split_rejects(ingest.coerce(accounting_text(spark, sf), ACCOUNTING), "demand_id")[1]
+
+
+def q_ingest_clean(spark, sf):
+    """All rows by type, a bad cell missing."""
+    return ingest.split_rejects(ingest.coerce(accounting_text(spark, sf), ACCOUNTING))[0]
+
+
+def q_first_row_in_file(spark, sf):
+    """Repeated keys of the line table, the first row in file order wins."""
+    lines = ingest.scan_with_order(spark, f"{sf}/lineitem.parquet")
+    lines = lines.withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return cmb.first_per_key(lines, "line", ["l_partkey", "l_suppkey", "l_extendedprice"], ingest.ORD)
+
+
+def q_fit_on_train(spark, sf):
+    """E2 fit_on='train': scaler of the training demands and the cut-off from their costs."""
+    d, p, c = staged_inputs(spark, sf)
+    cut = cv.materialize(split.split_cut(d.select("demand_id").distinct(), "demand_id", TEST_FRACTION, SEED))
+    seen, costs = (split.flag_test(x, cut, "demand_id", SEED).filter("not is_test").drop("is_test") for x in (d, c))
+    model = prep.Preprocessor(PERCENTILE, "mean").fit(seen, p, costs)
+    scaler = spark.createDataFrame(model.demand_scaler.to_rows("demand"), "side string, feature string, mean double, std double")
+    return rounded(scaler.select("feature", "mean", "std", F.lit(model.threshold).alias("threshold")))
+
+
+def q_fill_from_fit(spark, sf):
+    """P8 fill_from='fit': customers in debt, filled with the values stored when all were fitted."""
+    d, p, c = staged_inputs(spark, sf)
+    model = prep.Preprocessor(PERCENTILE, "mean", fill_from="fit").fit(d, p, c)
+    return rounded(model.transform_demand(d.filter("DF1 < 0")).select("demand_id", *model.demand_features))
+
+
+def _saved(spark) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/saved-{uuid.uuid4()}"
+
+
+def q_preprocessor_round_trip(spark, sf):
+    """A preprocessor saved, loaded and applied."""
+    model, _, p, _ = fitted(spark, sf)
+    path = _saved(spark)
+    model.save(path)
+    loaded = prep.PreprocessModel.load(spark, path)
+    return rounded(loaded.transform_plants(p).select("plant_id", "region", *loaded.plant_features))
+
+
+def q_scenario_round_trip(spark, sf):
+    """The scenario table written as CSV and read back by its schema."""
+    table, path = scenario(spark, sf), _saved(spark)
+    sinks.write_table(table, path, "csv")
+    return rounded(spark.read.schema(table.schema).option("header", True).csv(path))
+
+
+def q_model_round_trip(spark, sf):
+    """A linear model saved, loaded and applied to every cost row."""
+    model, d, p, c = fitted(spark, sf)
+    path = _saved(spark)
+    serve_model(model).save(spark, path)
+    dd, pp = model.transform_demand(d), model.transform_plants(p, only_good=False)
+    return rounded(serve.score_pairs(FittedModel.load(spark, path), dd, pp, c, model.demand_features, model.plant_features))
+
+
 def q_mean_lines(spark, sf):
     """The mean reference lines of the cost and regret views."""
     costs = summaries.mean_line(fx.fixture_costs(spark, sf), "cost").select(F.col("mean").alias("mean_cost"))
@@ -434,6 +512,19 @@ def q_forest_kfold_cv(spark, sf):
                       _features(comb), SEED, fold_mode="kfold", k=3, parallelism=3)
 
 
+def q_forest_grid_ledger(spark, sf):
+    """A forest grid over three group folds, every fit a cell of a ledger."""
+    comb = combined(spark, sf, reuse=True)
+    return cv.grid_search("random_forest", {"n_estimators": [5, 10], "max_depth": [3, 6]}, comb, _features(comb), SEED,
+                          fold_mode="kfold", k=3, parallelism=3).leaderboard
+
+
+def q_tuner_regret(spark, sf):
+    """MLlib's tuner with the regret evaluator over whole-demand folds."""
+    comb = combined(spark, sf, reuse=True)
+    return rounded(cv.cross_validate("lasso", {"alpha": [0.01, 1.0, 100.0]}, comb, _features(comb), SEED, k=3))
+
+
 def q_full_run(spark, sf):
     d, p, c = staged_inputs(spark, sf)
     run = run_selection(spark, d, p, c, SelectionOptions(model_type="lasso", cv_n_folds=None,
@@ -469,6 +560,14 @@ QUERIES = {
     "error_stats": q_error_stats,
     "regret_rmse": q_regret_rmse,
     "selection_quality": q_selection_quality,
+    "ingest_rejects": q_ingest_rejects,
+    "ingest_clean": q_ingest_clean,
+    "first_row_in_file": q_first_row_in_file,
+    "fit_on_train": q_fit_on_train,
+    "fill_from_fit": q_fill_from_fit,
+    "preprocessor_round_trip": q_preprocessor_round_trip,
+    "scenario_round_trip": q_scenario_round_trip,
+    "model_round_trip": q_model_round_trip,
     "mean_lines": q_mean_lines,
     "cumulative_rmse": q_cumulative_rmse,
     "leaderboard_rank": q_leaderboard_rank,
@@ -497,5 +596,7 @@ QUERIES = {
     "lasso_logo_cv": q_lasso_logo_cv,
     "lasso_grid_search": q_lasso_grid_search,
     "forest_kfold_cv": q_forest_kfold_cv,
+    "forest_grid_ledger": q_forest_grid_ledger,
+    "tuner_regret": q_tuner_regret,
     "full_run": q_full_run,
 }

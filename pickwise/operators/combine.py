@@ -28,13 +28,14 @@ def first_per_key(df: DataFrame, key: str, columns: list[str], order: str | None
 def combine(demand: DataFrame, plants: DataFrame, costs: DataFrame, demand_features: list[str],
             plant_features: list[str], demand_key: str = "demand_id", plant_key: str = "plant_id",
             cost: str = "cost", dedupe: bool = True, demand_order: str | None = None,
-            plant_order: str | None = None, drop_missing: bool = True) -> DataFrame:
+            plant_order: str | None = None, drop_missing: bool = True, flag: str | None = None) -> DataFrame:
     """Costs joined to demand and plant features (inner joins: a cost row whose
     demand or plant is unknown has nothing to look up and is dropped; count
     them with ``orphan_counts``). Adaptive execution broadcasts a
     side by its measured size, or splits a hot key: the aggregated sides are
     rebalanced, so that they do not bring along a partitioning by the key. ``drop_missing`` drops rows with any
-    missing value (P12)."""
+    missing value (P12); ``flag`` keeps them and names a column that tells the complete ones,
+    so that ``counts_in_passing`` needs no second pass over the join."""
     d = demand.select(demand_key, *demand_features)
     p = plants.select(plant_key, *plant_features)
     if dedupe:
@@ -45,6 +46,12 @@ def combine(demand: DataFrame, plants: DataFrame, costs: DataFrame, demand_featu
     out = joined.select(F.col(demand_key).alias(DEMAND), F.col(plant_key).alias(PLANT),
                         *[F.col(f).cast("double").alias(f) for f in demand_features + plant_features],
                         F.col(COST))
+    if flag:
+        complete = F.lit(True)
+        for f in out.schema.fields:
+            c = F.col(f"`{f.name}`")
+            complete = complete & c.isNotNull() & (~F.isnan(c) if f.dataType.typeName() in ("double", "float") else F.lit(True))
+        return out.withColumn(flag, F.coalesce(complete, F.lit(False)))
     return out.na.drop(how="any") if drop_missing else out
 
 
@@ -57,6 +64,13 @@ def orphan_counts(demand: DataFrame, plants: DataFrame, costs: DataFrame,
         "cost_rows", no_demand.alias("no_demand"), no_plant.alias("no_plant"))
 
 
+def counts_in_passing(flagged: DataFrame, flag: str) -> DataFrame:
+    """A4 and the P12 report from one aggregate over a combined table with its flag."""
+    ok = F.col(flag)
+    return flagged.agg(F.count_if(ok).alias("n_rows"), F.count_distinct(F.when(ok, F.col(DEMAND))).alias("n_demands"),
+                       F.count_distinct(F.when(ok, F.col(PLANT))).alias("n_plants"), F.count_if(~ok).alias("n_dropped"))
+
+
 def combined_counts(combined: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """A4 and the P12 report: rows, distinct demands, distinct plants, and the
     rows dropped for missing values when the pre-drop table is given."""

@@ -51,13 +51,15 @@ def fill_values(df: DataFrame, features: list[str], strategy: str,
 
 
 def impute(df: DataFrame, features: list[str], strategy: str = "mean",
-           quantile_method: str = DEFAULT_METHOD, eager: bool = True) -> DataFrame:
+           quantile_method: str = DEFAULT_METHOD, eager: bool = True, known: dict[str, float | None] | None = None) -> DataFrame:
     """Fill missing feature values. The fill values are computed on
-    ``df`` itself, not taken from a fit. ``eager`` (default) computes them
+    ``df`` itself, unless ``known`` has those of a fit. ``eager`` (default) computes them
     now - like MLlib's Imputer - so later plans carry literals; ``eager=False``
     keeps them as lazy scalar subqueries (merged by Catalyst into one
     aggregate, but re-run by every job that reads the result)."""
-    if strategy in ("mean", "median") and not eager:
+    if known is not None:
+        fills = {c: F.lit(known[c]).cast("double") for c in features}
+    elif strategy in ("mean", "median") and not eager:
         stats = fill_stats(df, features, strategy, quantile_method)
         fills = {c: stats.select(c).scalar() for c in features}
     else:
@@ -201,6 +203,12 @@ class Preprocessor:
     demand_prefix: str = "DF"
     plant_prefix: str = "PF"
     quantile_method: str = DEFAULT_METHOD
+    #: 'transform': fill values come from the data being transformed; 'fit': from the fit.
+    fill_from: str = "transform"
+
+    def __post_init__(self):
+        if self.fill_from not in ("transform", "fit"):
+            raise ValueError("fill_from must be 'transform' or 'fit'")
 
     def fit(self, demand: DataFrame, plants: DataFrame, costs: DataFrame) -> "PreprocessModel":
         dfeat = discover_features(demand, self.demand_prefix)
@@ -213,7 +221,8 @@ class Preprocessor:
         else:
             dscaler = fit_scaler(impute(demand, dfeat, fit_fill, self.quantile_method), dfeat)
         pscaler = fit_scaler(plants, pfeat)
-        return PreprocessModel(self, dfeat, pfeat, dscaler, pscaler, costs=costs)
+        fills = fill_values(demand, dfeat, self.missing_value_strategy, self.quantile_method) if self.fill_from == "fit" else None
+        return PreprocessModel(self, dfeat, pfeat, dscaler, pscaler, costs=costs, fills=fills)
 
     def plant_cut(self, costs: DataFrame) -> tuple[float | None, DataFrame]:
         """A1-A3: the cut-off and the flagged plants. The per-plant statistics (one
@@ -235,6 +244,7 @@ class PreprocessModel:
     plant_scaler: ScalerParams
     cut: tuple[float | None, DataFrame] | None = None
     costs: DataFrame | None = None
+    fills: dict[str, float | None] | None = None
     extra: dict = field(default_factory=dict)
 
     def _plant_cut(self) -> tuple[float | None, DataFrame]:
@@ -257,7 +267,7 @@ class PreprocessModel:
 
     def transform_demand(self, demand: DataFrame) -> DataFrame:
         s = self.settings
-        filled = impute(demand, self.demand_features, s.missing_value_strategy, s.quantile_method)
+        filled = impute(demand, self.demand_features, s.missing_value_strategy, s.quantile_method, known=self.fills)
         return self.demand_scaler.apply(filled)
 
     def transform_plants(self, plants: DataFrame, only_good: bool = True) -> DataFrame:
@@ -298,7 +308,7 @@ class PreprocessModel:
                 "missing_value_strategy": s.missing_value_strategy,
                 "demand_key": s.demand_key, "plant_key": s.plant_key, "cost": s.cost,
                 "demand_prefix": s.demand_prefix, "plant_prefix": s.plant_prefix,
-                "quantile_method": s.quantile_method, "threshold": self.threshold,
+                "quantile_method": s.quantile_method, "fill_from": s.fill_from, "fills": self.fills, "threshold": self.threshold,
                 "demand_features": self.demand_features, "plant_features": self.plant_features}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
             .write.mode("overwrite").text(f"{path}/settings")
@@ -314,8 +324,9 @@ class PreprocessModel:
 
         settings = Preprocessor(meta["plant_filter_percentile"], meta["missing_value_strategy"],
                                 meta["demand_key"], meta["plant_key"], meta["cost"],
-                                meta["demand_prefix"], meta["plant_prefix"], meta["quantile_method"])
+                                meta["demand_prefix"], meta["plant_prefix"], meta["quantile_method"],
+                                meta.get("fill_from", "transform"))
         return PreprocessModel(settings, meta["demand_features"], meta["plant_features"],
                                params("demand", meta["demand_features"]),
                                params("plant", meta["plant_features"]),
-                               (meta["threshold"], spark.read.parquet(f"{path}/plant_flags")))
+                               (meta["threshold"], spark.read.parquet(f"{path}/plant_flags")), fills=meta.get("fills"))

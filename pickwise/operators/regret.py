@@ -4,8 +4,9 @@ The scenario table is one ``groupBy(demand)`` with four aggregates; the
 aggregates are partial (map-side combine), so a demand with a huge number of
 candidate rows is reduced before the shuffle and never held by one task.
 
-Tie rule: the reference takes the first row in file order; Spark has no stable
-file order, so ties go to the smallest plant key.
+Tie rule: the reference takes the first row in file order. A table read through
+``sources.ingest`` carries that order, and ``order`` names it; else ties go to the
+smallest plant key.
 """
 
 from __future__ import annotations
@@ -25,21 +26,24 @@ STAT_NAMES = ["mean", "median", "std", "min", "max", "rmse", "count"]
 
 
 def scenario_table(scored: DataFrame, demand: str = DEMAND, plant: str = PLANT, cost: str = COST,
-                   pred: str = "prediction", extra_keys: list[str] | None = None) -> DataFrame:
+                   pred: str = "prediction", extra_keys: list[str] | None = None, order: str | None = None) -> DataFrame:
     """Per demand the plant with the lowest predicted cost (model pick),
     the plant with the lowest actual cost (oracle), their costs and the regret.
     Rows with a missing cost are ignored; rows with a missing prediction cannot
     be picked (a demand whose predictions are all missing has a null pick).
-    ``extra_keys`` (e.g. a grid combination) are grouped along with the demand."""
+    ``extra_keys`` (e.g. a grid combination) are grouped along with the demand.
+    Ties go to the first row by ``order`` (e.g. the input order of ``sources.ingest``), else
+    to the smallest plant key."""
+    tie = [F.col(order)] if order else []
     keys = list(extra_keys or []) + [demand]
     p = F.col(pred)
     valid = scored.filter(F.col(cost).isNotNull()).withColumn(
         "__pred", F.when(~F.isnan(p), p))
     agg = valid.groupBy(*keys).agg(
         F.min(cost).alias("Oracle_Cost"),
-        F.min_by(F.col(plant), F.struct(F.col(cost), F.col(plant))).alias("Oracle_Selected_Plant"),
+        F.min_by(F.col(plant), F.struct(F.col(cost), *tie, F.col(plant))).alias("Oracle_Selected_Plant"),
         F.min_by(F.struct(F.col(plant).alias("p"), F.col(cost).alias("c")),
-                 F.when(F.col("__pred").isNotNull(), F.struct(F.col("__pred"), F.col(plant)))).alias("__pick"))
+                 F.when(F.col("__pred").isNotNull(), F.struct(F.col("__pred"), *tie, F.col(plant)))).alias("__pick"))
     return agg.select(
         *[F.col(k) for k in keys[:-1]],
         F.col(demand).alias("Demand_ID"),

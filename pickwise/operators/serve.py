@@ -36,17 +36,19 @@ def linear_score(weights: dict[str, float], intercept: float = 0.0):
 
 def best_plant_linear(demands: DataFrame, plants: DataFrame, intercept: float, weights: dict[str, float],
                       demand_features: list[str], plant_features: list[str], demand_key: str = "demand_id",
-                      plant_key: str = "plant_id", plant_info: list[str] | None = None) -> DataFrame:
+                      plant_key: str = "plant_id", plant_info: list[str] | None = None,
+                      plant_order: str | None = None) -> DataFrame:
     """I2/L6/J6 for a linear model: per demand the plant with the lowest
-    predicted cost (ties: smallest plant key; a plant with a missing feature
+    predicted cost (ties: first by ``plant_order``, then smallest plant key; a plant with a missing feature
     has no prediction and is never picked), its descriptive columns, the raw
     prediction and the number of features used."""
     info = list(plant_info or [])
     pscore = linear_score({f: weights.get(f, 0.0) for f in plant_features})
-    scored = plants.select(plant_key, *info, pscore.alias("__ps")).filter(F.col("__ps").isNotNull())
+    tie = [F.col(plant_order).alias("__po")] if plant_order else []
+    scored = plants.select(plant_key, *info, *tie, pscore.alias("__ps")).filter(F.col("__ps").isNotNull())
     best = scored.agg(F.min_by(F.struct(F.col(plant_key).alias("k"), *[F.col(c) for c in info],
                                         F.col("__ps").alias("s")),
-                               F.struct(F.col("__ps"), F.col(plant_key))).alias("b"))
+                               F.struct("__ps", *(["__po"] if tie else []), plant_key)).alias("b"))
     b = {name: best.select(f"b.{name}").scalar() for name in ["k", "s", *info]}
     dscore = linear_score({f: weights.get(f, 0.0) for f in demand_features}, intercept)
     return demands.select(
@@ -90,7 +92,7 @@ def best_plant_scored(model, demands: DataFrame, plants: DataFrame, demand_key:
 
 
 def best_plant(model, prep, demands: DataFrame, plants: DataFrame, candidates: str = "all",
-               scale: bool = True, plant_info: list[str] | None = None) -> DataFrame:
+               scale: bool = True, plant_info: list[str] | None = None, plant_order: str | None = None) -> DataFrame:
     """I2 through a fitted model and preprocessor. ``candidates='good'``
     restricts to the plants kept by the cost filter (the reference serves
     all plants); ``scale=False`` feeds raw features, as the reference's
@@ -105,9 +107,9 @@ def best_plant(model, prep, demands: DataFrame, plants: DataFrame, candidates: s
     terms = model.linear_terms()
     if terms is not None:
         b, w = terms
-        out = best_plant_linear(d, p, b, w, prep.demand_features, prep.plant_features, "__dk", "__pk", plant_info)
+        out = best_plant_linear(d, p, b, w, prep.demand_features, prep.plant_features, "__dk", "__pk", plant_info, plant_order)
     elif model.model_type in ("random_forest", "gradient_boosting"):
-        found = best_plant_trees(model_ensemble(model, d.sparkSession), d, p, "__dk", "__pk", plant_info)
+        found = best_plant_trees(model_ensemble(model, d.sparkSession), d, p, "__dk", "__pk", plant_info, plant_order)
         out = found.picks.withColumn("feature_count", F.lit(len(model.features)))
     else:
         out = best_plant_scored(model, d, p, "__dk", "__pk", plant_info)

@@ -181,9 +181,9 @@ class TreeServing:
 
 
 def best_plant_trees(ens: Ensemble, demands: DataFrame, plants: DataFrame, demand_key: str = "demand_id", plant_key: str = "plant_id",
-                     plant_info: list[str] | None = None, leaf: int = LEAF, fanout: int = FANOUT) -> TreeServing:
-    """The plant with the lowest prediction for every demand row. Ties go to the smallest
-    plant key; a plant with a missing feature is never picked, a demand
+                     plant_info: list[str] | None = None, plant_order: str | None = None, leaf: int = LEAF, fanout: int = FANOUT) -> TreeServing:
+    """The plant with the lowest prediction for every demand row. Ties go to the first
+    plant by ``plant_order``, then to the smallest plant key; a plant with a missing feature is never picked, a demand
     with one gets no plant. Repeated plant keys are separate candidates."""
     info = list(plant_info or [])
     mine = [f for f in ens.features if f in demands.columns]
@@ -191,8 +191,9 @@ def best_plant_trees(ens: Ensemble, demands: DataFrame, plants: DataFrame, deman
     spark = demands.sparkSession
     demands = reusable(demands.select(demand_key, *mine))
     binned = materialize(_with_bins(demands.na.drop(subset=mine), ens, mine, "d").select(F.col(demand_key).alias("__dk"), *mine, "d"))
-    usable = plants.select(plant_key, *info, *theirs).na.drop(subset=[plant_key, *theirs])
-    rank = F.struct(F.col(plant_key).alias("k"), *info)
+    tie = [F.col(plant_order).alias("__po")] if plant_order else []
+    usable = plants.select(plant_key, *info, *theirs, *tie).na.drop(subset=[plant_key, *theirs])
+    rank = F.struct(*(["__po"] if tie else []), F.col(plant_key).alias("k"), *info)
     cells = _with_bins(usable, ens, theirs, "p").groupBy("p").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n"))
     cells = materialize(with_global_index(cells, ["p"], "place"))
     d_cells = binned.select("d").distinct()

@@ -244,6 +244,26 @@ SELECT CAST(row_number() OVER (ORDER BY TRY_CAST("Group" AS BIGINT) NULLS LAST,
   count(*) FILTER (WHERE demand_id NOT IN (SELECT demand_id FROM fx_demands WHERE DF1 >= 0)) AS no_demand,
   count(*) FILTER (WHERE plant_id NOT IN (SELECT plant_id FROM fx_plants WHERE PF1 >= 0)) AS no_plant
 FROM fx_costs"""
+    money = "CAST(round(c_acctbal * 100) AS BIGINT)"
+    q["ingest_rejects"] = f"""SELECT c_custkey AS demand_id, 'DF1' AS "column", '(' || -{money} || ' cents)' AS raw
+FROM customer WHERE {money} < 0"""
+    q["ingest_clean"] = f"""SELECT c_custkey AS demand_id, c_mktsegment, CASE WHEN {money} >= 0 THEN CAST({money} AS DOUBLE) END AS DF1,
+  CAST(c_nationkey AS DOUBLE) AS DF4 FROM customer"""
+    q["first_row_in_file"] = """SELECT line, l_partkey, l_suppkey, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY n) AS nth FROM (
+    SELECT l_orderkey || '-' || l_linenumber AS line, l_partkey, l_suppkey, l_extendedprice, row_number() OVER () AS n FROM lineitem))
+WHERE nth = 1"""
+    q["fit_on_train"] = "WITH " + BASE + f"""hashed AS (SELECT demand_id, md5(demand_id || ':{SEED}') AS h, count(*) OVER () AS n FROM fx_demands),
+test AS (SELECT demand_id FROM (SELECT *, row_number() OVER (ORDER BY h, demand_id) AS i FROM hashed) WHERE i <= ceil(n * 0.05)),
+seen AS (SELECT * FROM fx_demands WHERE demand_id NOT IN (SELECT demand_id FROM test)),
+means AS (SELECT avg(DF1) AS a1, avg(DF2) AS a2, avg(DF3) AS a3, avg(DF4) AS a4 FROM seen),
+filled AS (SELECT coalesce(DF1, a1) AS DF1, coalesce(DF2, a2) AS DF2, coalesce(DF3, a3) AS DF3, coalesce(DF4, a4) AS DF4 FROM seen, means),
+meds AS (SELECT plant_id, median(cost) AS m FROM fx_costs WHERE demand_id IN (SELECT demand_id FROM seen) GROUP BY plant_id),
+cut AS (SELECT round(quantile_cont(m, 0.75), 6) AS threshold FROM meds)
+""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, any_value(threshold) AS threshold FROM filled, cut"
+                         for c in DF)
+    q["fill_from_fit"] = p + "SELECT demand_id, " + ", ".join(_r(f"s.{c}", c) for c in DF) + """ FROM d_std s
+JOIN fx_demands f USING (demand_id) WHERE f.DF1 < 0"""
     q["mean_lines"] = p + """SELECT round((SELECT avg(cost) FROM fx_costs), 6) AS mean_cost,
   round((SELECT avg(Model_Selected_Cost - Oracle_Cost) FROM scen), 6) AS mean_regret"""
     q["scenario_table"] = p + f"SELECT {SCEN_COLS} FROM scen"
@@ -339,5 +359,6 @@ picks AS (SELECT demand_id, arg_min(plant_id, (pr, plant_id)) AS selected_plant,
 SELECT demand_id, selected_plant, region, raw_prediction FROM fx_demands LEFT JOIN picks USING (demand_id)"""
     q["serve_pair_cost"] = p + f"""SELECT c.demand_id, c.plant_id, round({SERVE_ALL}, 6) AS prediction
 FROM fx_costs c JOIN d_std d ON c.demand_id = d.demand_id JOIN p_std p ON c.plant_id = p.plant_id"""
+    q["preprocessor_round_trip"], q["scenario_round_trip"], q["model_round_trip"] = q["filter_plants"], q["scenario_table"], q["serve_pair_cost"]
     q["group_gram"] = p + _gram_select()
     return q

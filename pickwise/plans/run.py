@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import DEFAULT_METHOD
-from ..operators.combine import combine, orphan_counts
+from ..operators.combine import DEMAND, combine, orphan_counts
 from ..operators.prepare import STRATEGIES, Preprocessor
 from ..operators.regret import error_stats
-from ..operators.split import group_split
+from ..operators.split import flag_test, group_split, split_cut
 from ..operators.summaries import model_comparison, summary_bundle
 from ..sources import sinks
 from .cv import evaluate, gram_folds, grid_search, logo_cv, materialize
@@ -48,6 +48,11 @@ class SelectionOptions:
     cost: str = "cost"
     output_dir: str | None = None
     on_orphan: str = "drop"
+    #: 'all' fits the preprocessor on every demand (as the reference does), 'train' on the training demands only.
+    fit_on: str = "all"
+    fill_from: str = "transform"
+    #: Folder of the ledgers of tree fits; a stopped run that is started again with it goes on.
+    ledger_dir: str | None = None
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -61,6 +66,10 @@ class SelectionOptions:
             raise ValueError("hyperparam_scoring must be 'regret' or 'rmse'")
         if self.on_orphan not in ("drop", "error"):
             raise ValueError("on_orphan must be 'drop' or 'error'")
+        if self.fit_on not in ("all", "train"):
+            raise ValueError("fit_on must be 'all' or 'train'")
+        if self.fill_from not in ("transform", "fit"):
+            raise ValueError("fill_from must be 'transform' or 'fit'")
         # A tree model is fitted once per fold, so it cannot leave out every
         # group in turn: without fold counts its folds are hashed groups.
         bounded = self.cv_n_folds is not None and (not self.hyperparam_enabled or self.hyperparam_cv_folds is not None)
@@ -118,13 +127,23 @@ class SelectionRun:
         return model_comparison(errors)
 
 
+def model_key(params: dict) -> str:
+    """A folder name for a parameter set."""
+    return "-".join(f"{k}={params[k]}" for k in sorted(params))
+
+
+def _ledger(opts: SelectionOptions, name: str) -> str | None:
+    return f"{opts.ledger_dir.rstrip('/')}/{name}" if opts.ledger_dir else None
+
+
 def _results(opts: SelectionOptions, params: dict, combined, train, test, features, prepared,
              folds: DataFrame | None = None) -> ModelResults:
     model = fit_model(opts.model_type, params, opts.random_seed, train, features)
     ev = evaluate(model, test, opts.quantile_method)
     if folds is None:
         folds = logo_cv(opts.model_type, params, combined, features, opts.random_seed, opts.cv_n_folds,
-                        opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds))
+                        opts.parallelism, opts.fold_mode, opts.kfold_k, prepared=prepared.get(opts.cv_n_folds),
+                        ledger=_ledger(opts, "cv-" + model_key(params)))
         folds = materialize(folds)
     return ModelResults(params, model, ev, folds, opts.quantile_method)
 
@@ -142,8 +161,16 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
         if found["no_demand"] or found["no_plant"]:
             raise ValueError(f"costs without a demand row: {found['no_demand']}, without a plant row: {found['no_plant']}")
     ingest = sinks.ingest_report({"demand": demand, "plants": plants, "costs": costs})
-    prep = Preprocessor(opts.plant_filter_percentile, opts.missing_value_strategy, opts.demand_key,
-                        opts.plant_key, opts.cost, quantile_method=opts.quantile_method).fit(demand, plants, costs)
+    fraction = float(opts.test_size_percent) / 100.0
+    cut, seen, seen_costs = None, demand, costs
+    if opts.fit_on == "train":
+        # The split comes first; test demands and their costs are not seen by the fit.
+        ids = demand.select(opts.demand_key).filter(F.col(opts.demand_key).isNotNull()).distinct()
+        cut = materialize(split_cut(ids, opts.demand_key, fraction, opts.random_seed))
+        seen, seen_costs = (flag_test(df, cut, opts.demand_key, opts.random_seed).filter("not is_test").drop("is_test")
+                            for df in (demand, costs))
+    prep = Preprocessor(opts.plant_filter_percentile, opts.missing_value_strategy, opts.demand_key, opts.plant_key, opts.cost,
+                        quantile_method=opts.quantile_method, fill_from=opts.fill_from).fit(seen, plants, seen_costs)
     clock.lap("preprocess_fit")
     d, p, c = prep.transform(demand, plants, costs)
     features = prep.all_features
@@ -152,7 +179,8 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
     # The flag is a projection of the (checkpointed) combined rows against a
     # one-row cut, so it is cheap to recompute and is not written again.
     clock.lap("combine")
-    flagged = group_split(combined, float(opts.test_size_percent) / 100.0, opts.random_seed)
+    flagged = group_split(combined, fraction, opts.random_seed) if cut is None else flag_test(
+        combined, cut.withColumnRenamed(opts.demand_key, DEMAND), DEMAND, opts.random_seed)
     clock.lap("split")
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
@@ -172,7 +200,7 @@ def run_selection(spark: SparkSession, demand: DataFrame, plants: DataFrame, cos
         g = grid_search(opts.model_type, opts.tuning_grid, combined, features, opts.random_seed,
                         opts.hyperparam_cv_folds, opts.parallelism, opts.hyperparam_scoring,
                         opts.fold_mode, opts.kfold_k, defaults=opts.model_params,
-                        prepared=prepared.get(opts.hyperparam_cv_folds))
+                        prepared=prepared.get(opts.hyperparam_cv_folds), ledger=_ledger(opts, "grid"))
         clock.lap("grid_search")
         # Grid values over the defaults (the reference drops non-grid defaults).
         best = {**opts.model_params, **g.best_params}

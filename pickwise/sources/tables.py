@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.columns import nan_to_null
+from .ingest import Ingested, ingest_table
 
 # Column names of the reference's CSV inputs (fixed values).
 DEMAND_ID = "Demand ID"
@@ -58,9 +59,19 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def read_selection_inputs(spark: SparkSession, demand_path: str, plants_path: str, costs_path: str,
                           fmt: str = "csv", n_demand_features: int | None = None,
-                          n_plant_features: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                          n_plant_features: int | None = None, on_bad: str = "fail"
+                          ) -> tuple[DataFrame, DataFrame, DataFrame] | tuple[Ingested, Ingested, Ingested]:
     """The three inputs. For CSV, pass the feature counts to get a declared
-    schema (recommended at scale); ``None`` infers the schema."""
+    schema (recommended at scale); ``None`` infers the schema. With
+    ``on_bad='reject'`` (needs the feature counts) cells that cannot be read become missing and
+    every input comes as ``Ingested``: clean rows in input order and rejects."""
+    if on_bad not in ("fail", "reject"):
+        raise ValueError("on_bad must be 'fail' or 'reject'")
+    if on_bad == "reject":
+        if not n_demand_features or not n_plant_features:
+            raise ValueError("on_bad='reject' needs the feature counts")
+        schemas = demand_schema(n_demand_features), plants_schema(n_plant_features), costs_schema()
+        return tuple(ingest_table(spark, path, s, fmt) for path, s in zip((demand_path, plants_path, costs_path), schemas))
     ds = demand_schema(n_demand_features) if fmt == "csv" and n_demand_features else None
     ps = plants_schema(n_plant_features) if fmt == "csv" and n_plant_features else None
     cs = costs_schema() if fmt == "csv" else None
