@@ -18,7 +18,7 @@ from .functions.columns import group_key
 from .functions.ranking import with_global_index
 from .operators import combine as cmb
 from .operators import prepare as prep
-from .operators import regret, serve, split, summaries
+from .operators import display, distinct_sets, regret, serve, split, summaries
 from .operators.tree_serve import best_plant_trees, ensemble_of
 from .plans import cv, gram
 from .plans.models import FittedModel, fit_model
@@ -398,6 +398,39 @@ def q_prediction_pairs_bounds(spark, sf):
     return rounded(summaries.prediction_bounds(predicted(spark, sf).filter(F.col("prediction").isNotNull())))
 
 
+def _pairs(spark, sf):
+    return predicted(spark, sf).filter(F.col("prediction").isNotNull())
+
+
+def q_prediction_density(spark, sf):
+    """Actual against predicted as counts on a 50 x 50 grid."""
+    return rounded(display.density_grid(_pairs(spark, sf), 50))
+
+
+def q_prediction_sample(spark, sf):
+    """The 200 pairs of smallest hash."""
+    return rounded(display.hash_sample(_pairs(spark, sf), [cmb.DEMAND, cmb.PLANT], 200))
+
+
+def _returned(spark, sf):
+    return fx.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_returnflag") == "R").alias("side"))
+
+
+def q_set_overlap(spark, sf):
+    """Parts with and without returned lines, exactly."""
+    return distinct_sets.overlap_exact(_returned(spark, sf), "l_partkey", F.col("side"))
+
+
+def q_set_overlap_sketch(spark, sf):
+    """The same from theta sketches (exact up to 4,096 parts)."""
+    return distinct_sets.overlap_estimate(_returned(spark, sf), "l_partkey", F.col("side"))
+
+
+def q_demands_per_plant_sketch(spark, sf):
+    """A4: distinct demands of every plant and of all, from one merged sketch per plant."""
+    return distinct_sets.group_estimate(fx.fixture_costs(spark, sf), "plant_id", "demand_id")
+
+
 def q_position_lookup(spark, sf):
     d = fx.fixture_demands(spark, sf).select("demand_id", F.when(F.col("DF3") > 0, F.col("DF1") / 100).alias("raw_prediction"))
     return rounded(serve.position_lookup(d, fx.fixture_plants(spark, sf), "raw_prediction"))
@@ -582,6 +615,11 @@ QUERIES = {
     "regret_histogram": q_regret_histogram,
     "residual_histogram": q_residual_histogram,
     "prediction_pairs_bounds": q_prediction_pairs_bounds,
+    "prediction_density": q_prediction_density,
+    "prediction_sample": q_prediction_sample,
+    "set_overlap": q_set_overlap,
+    "set_overlap_sketch": q_set_overlap_sketch,
+    "demands_per_plant_sketch": q_demands_per_plant_sketch,
     "position_lookup": q_position_lookup,
     "serve_best_plant": q_serve_best_plant,
     "serve_best_plant_trees": q_serve_best_plant_trees,

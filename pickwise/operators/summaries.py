@@ -180,6 +180,7 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
                    quantile_method: str = DEFAULT_METHOD) -> Mapping[str, DataFrame]:
     """Every summary as a lazy DataFrame (the cumulative RMSE, which
     needs a sort written to the checkpoint folder, is built on first access)."""
+    from .display import density_grid, hash_sample
     out = LazySummaries({
         "cost_mean": mean_line(costs, cost),
         "train_bounds": prediction_bounds(scored_train),
@@ -194,6 +195,9 @@ def summary_bundle(costs: DataFrame, scored_train: DataFrame, scored_test: DataF
     out.later("train_residual_histogram", lambda: histogram(residuals(scored_train), "residual", 50))
     out.later("test_residual_histogram", lambda: histogram(residuals(scored_test), "residual", 50))
     out.later("regret_histogram", lambda: histogram(scenario, "Selection_Error", 30))
+    for name, pairs in (("train", scored_train), ("test", scored_test)):
+        out.later(f"{name}_density", lambda pairs=pairs: density_grid(pairs))
+        out[f"{name}_sample"] = hash_sample(pairs.select("Demand_ID", "Plant_ID", "Cost", "prediction"), ["Demand_ID", "Plant_ID"])
     out.later("cumulative_rmse", lambda: cumulative_rmse(folds))
     out.later("boxplot_stats", lambda: boxplot_stats(costs, 10, plant, cost, quantile_method))
     out.later("plant_performance", lambda: plant_performance(costs, plant, cost, quantile_method))

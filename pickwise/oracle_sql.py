@@ -359,6 +359,21 @@ picks AS (SELECT demand_id, arg_min(plant_id, (pr, plant_id)) AS selected_plant,
 SELECT demand_id, selected_plant, region, raw_prediction FROM fx_demands LEFT JOIN picks USING (demand_id)"""
     q["serve_pair_cost"] = p + f"""SELECT c.demand_id, c.plant_id, round({SERVE_ALL}, 6) AS prediction
 FROM fx_costs c JOIN d_std d ON c.demand_id = d.demand_id JOIN p_std p ON c.plant_id = p.plant_id"""
+    pairs = """, pp AS (SELECT * FROM pred WHERE prediction IS NOT NULL),
+b AS (SELECT least(min(Cost), min(prediction)) AS lo, greatest(max(Cost), max(prediction)) AS hi FROM pp)
+"""
+    cell = "CAST(least(greatest(floor(({0} - lo) / (hi - lo) * 50), 0), 49) AS INTEGER)"
+    q["prediction_density"] = p + pairs + f"""SELECT bin_actual, bin_predicted, n_pairs, round(lo + bin_actual * ((hi - lo) / 50), 6) AS actual_from,
+  round(lo + bin_predicted * ((hi - lo) / 50), 6) AS predicted_from
+FROM (SELECT {cell.format("Cost")} AS bin_actual, {cell.format("prediction")} AS bin_predicted, count(*) AS n_pairs FROM pp, b GROUP BY 1, 2), b"""
+    q["prediction_sample"] = p + pairs + """SELECT Demand_ID, Plant_ID, round(Cost, 6) AS Cost, round(prediction, 6) AS prediction
+FROM pp ORDER BY md5(Demand_ID || '|' || Plant_ID || ':0'), Demand_ID, Plant_ID LIMIT 200"""
+    q["set_overlap"] = """SELECT count_if(t) AS n_true, count_if(f) AS n_false, count(*) AS n_union, count_if(t AND f) AS n_both, count_if(t AND NOT f) AS n_only_true
+FROM (SELECT l_partkey, bool_or(l_returnflag = 'R') AS t, bool_or(l_returnflag <> 'R') AS f FROM lineitem GROUP BY l_partkey)"""
+    q["set_overlap"] = "SELECT " + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ("n_true", "n_false", "n_union", "n_both", "n_only_true")) + " FROM (" + q["set_overlap"] + ")"
+    q["set_overlap_sketch"] = q["set_overlap"]
+    q["demands_per_plant_sketch"] = p + """SELECT plant_id, count(DISTINCT demand_id) AS n_keys, (SELECT count(DISTINCT demand_id) FROM fx_costs) AS n_total
+FROM fx_costs GROUP BY plant_id"""
     q["preprocessor_round_trip"], q["scenario_round_trip"], q["model_round_trip"] = q["filter_plants"], q["scenario_table"], q["serve_pair_cost"]
     q["group_gram"] = p + _gram_select()
     return q
