@@ -30,6 +30,8 @@ from .text import ByteHash, Slice, bounds, slices, window_hashes, words
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
 MIN_TOKENS = 64
+#: Bytes of text measured at once: some 60 bytes of arrays per byte of text.
+RULE_BYTES = 512 << 10
 WINDOW = 8
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -197,7 +199,7 @@ def rule_batches(folder: str | None, bands: dict):
         for b in batches:
             tokens = tokens or WordTokens(folder)
             ids = b.column("doc_id")
-            for s in slices(b.column("text")):
+            for s in slices(b.column("text"), RULE_BYTES):
                 n = s.hi - s.lo
                 start, end, doc = words(s)
                 prefix = hasher.prefix(s.data)
