@@ -4,6 +4,11 @@ removal, mixing of sources, packing into sequences.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's documents. All but the last
 return the columns of ``documents``; a changed text gets its own n_chars.
+
+Nulls and edges: a null, empty or wordless text fails the first stage's base rules and goes;
+null ids and sources, repeated rows and very long texts pass as each operator's docstring says;
+extra columns, also of names that operators use inside, are kept up to the last
+stage; an empty table gives no rows in every stage.
 """
 
 from __future__ import annotations
@@ -54,8 +59,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL can express neither tokenisation nor MinHash classes. The stages are tested
-#: one by one in tests/llm; no test runs them as a chain yet.
+#: SQL can express neither tokenisation nor MinHash classes; tests/llm/test_pipeline.py
+#: compares every stage of run() with brute force or SQL on the stage's own input.
 ORACLE_SQL = None
 
 
