@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.columns import group_key
-from .functions.ranking import with_global_index
 from .operators import combine as cmb
 from .operators import prepare as prep
 from .operators import display, distinct_sets, regret, serve, split, summaries

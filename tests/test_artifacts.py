@@ -42,7 +42,8 @@ def test_run_writes_and_reloads_artifacts(spark):
     comp = run.comparison.filter(F.col("metric") == "rmse").collect()
     assert {(r.model, r.evaluation) for r in comp} == {("baseline", "test"), ("baseline", "logo"),
                                                         ("optimized", "test"), ("optimized", "logo")}
-    assert len(run.summaries) == 13 and set(run.summaries) >= {"cost_histogram", "boxplot_stats", "plant_performance"}
+    assert len(run.summaries) == 17 and set(run.summaries) >= {"cost_histogram", "boxplot_stats", "plant_performance"}
+    assert {f"{side}_{view}" for side in ("train", "test") for view in ("density", "sample")} <= set(run.summaries)
     assert spark.read.option("header", True).csv(f"{out}/results/summaries/cost_histogram").count() == 50
     cum = run.summaries["cumulative_rmse"].orderBy("Fold").collect()
     last = run.final.logo_stats.first()["rmse"]
