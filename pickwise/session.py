@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):      # not local-cluster
         folder = tempfile.mkdtemp(prefix="pickwise-ckpt-")
         sc.setCheckpointDir(folder)
         return folder
