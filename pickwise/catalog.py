@@ -19,7 +19,7 @@ from .operators import combine as cmb
 from .operators import prepare as prep
 from .operators import display, distinct_sets, regret, serve, split, summaries
 from .operators.tree_serve import best_plant_trees, ensemble_of
-from .plans import cv, gram
+from .plans import cv, fold_prepare, gram
 from .plans.models import FittedModel, fit_model
 from .plans.run import SelectionOptions, run_selection
 from .session import ensure_checkpoint_dir
@@ -532,6 +532,28 @@ def q_lasso_logo_cv(spark, sf):
     return cv.logo_cv("lasso", {"alpha": 1.0}, comb, _features(comb), SEED, n_folds=None)
 
 
+def _folds_prepared(spark, sf):
+    d, p, c = staged_inputs(spark, sf)
+    return d, p, fold_prepare.fit_folds(d, p, c, prep.Preprocessor(PERCENTILE))
+
+
+def q_fold_parameters(spark, sf):
+    """P5, A1-A2 without each demand in turn: scaler and cut-off of every fold."""
+    return rounded(_folds_prepared(spark, sf)[2].parameters())
+
+
+def q_fold_training_rows(spark, sf):
+    """A3, P10-P12 without each demand in turn: training and held-out rows of every fold."""
+    d, p, fitted_folds = _folds_prepared(spark, sf)
+    return rounded(fold_prepare.fold_counts(fold_prepare.fold_systems(fitted_folds, d, p)))
+
+
+def q_lasso_logo_refit(spark, sf):
+    """G3 without leakage: every fold's preprocessing and Lasso leave its demand out."""
+    d, p, fitted_folds = _folds_prepared(spark, sf)
+    return rounded(fold_prepare.lasso_logo_refit(fold_prepare.fold_systems(fitted_folds, d, p), 1.0))
+
+
 def q_lasso_grid_search(spark, sf):
     comb = combined(spark, sf)
     return cv.grid_search("lasso", {"alpha": [0.001, 0.01, 0.1, 1.0, 10.0]}, comb, _features(comb), SEED,
@@ -631,6 +653,9 @@ QUERIES = {
                                                "min_samples_split": 2}),
     "test_evaluation": q_test_evaluation,
     "lasso_logo_cv": q_lasso_logo_cv,
+    "fold_parameters": q_fold_parameters,
+    "fold_training_rows": q_fold_training_rows,
+    "lasso_logo_refit": q_lasso_logo_refit,
     "lasso_grid_search": q_lasso_grid_search,
     "forest_kfold_cv": q_forest_kfold_cv,
     "forest_grid_ledger": q_forest_grid_ledger,

@@ -80,20 +80,19 @@ def order_statistics(cells: DataFrame, wanted: DataFrame, limit: int = CELLS, k:
     return few.unionByName(order_statistics(rest, next_wanted, limit, k))
 
 
-def selected_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float], limit: int = CELLS,
-                       k: int = SKETCH_K, margin: float = MARGIN) -> DataFrame:
-    """One row per group with one column per ``name -> q`` (linear
-    interpolation); null values are skipped, null keys are a group."""
+def _found(df: DataFrame, keys: list[str], value: str, qs: list[float], targets: Column, limit: int, k: int,
+           margin: float) -> DataFrame | None:
+    """tag (g, n, name, side, frac) and v of every wanted rank that exists. ``targets``: an array of
+    structs (name, side, frac, r) in terms of the group's count n; r should lie near one of ``qs``."""
     rows = reusable(df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull()))
     key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("__all"))
     rows = rows.select(key.alias("g"), "__v")
-    names = list(qs)
     # The sketch gives the values at q - margin and q + margin; a small group is one bracket.
-    around = ", ".join(f"{min(max(q + d, 0.0), 1.0)!r}d" for q in qs.values() for d in (-margin, margin))
+    around = ", ".join(f"{min(max(q + d, 0.0), 1.0)!r}d" for q in qs for d in (-margin, margin))
     stats = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), _sketch("__v", k).alias("s")).select(
         "g", "n", F.expr(f"kll_sketch_get_quantile_double(s, array({around}))").alias("at"))
     edges = []
-    for i, q in enumerate(qs.values()):
+    for i, q in enumerate(qs):
         whole = F.col("n") * max(margin, 1e-9) < 4
         edges.append(F.when(whole | (q - margin <= 0), float("-inf")).otherwise(F.col("at")[2 * i]).alias(f"a{i}"))
         edges.append(F.when(whole | (q + margin >= 1), float("inf")).otherwise(F.col("at")[2 * i + 1]).alias(f"b{i}"))
@@ -104,29 +103,53 @@ def selected_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     else:
         one = stats.first()      # one row of bracket ends
         if one is None:
-            return rows.sparkSession.createDataFrame([], ", ".join(f"`{n}` double" for n in names))
+            return None
         marked = rows.select("g", "__v", _cell([(F.lit(one[f"a{i}"]), F.lit(one[f"b{i}"])) for i in range(len(qs))]).alias("c"))
     cells = materialize(marked.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")).select("g", "c.*", "n"))
+    wanted = stats.select("g", "n", F.explode(targets).alias("t")).filter("t.r >= 0 and t.r < n").select(
+        "g", F.struct("g", "n", "t.name", "t.side", "t.frac").alias("tag"), F.col("t.r").alias("r"))
+    found = materialize(order_statistics(cells, wanted, limit, k))
+    missed = found.filter("gap")
+    if missed.isEmpty():
+        return found
+    # The values of the gaps that hold a rank; g is now group and gap.
+    inner = missed.select(F.struct("tag.g", F.col("v").alias("last")).alias("g"), "tag", F.col("off").alias("r"))
+    values = marked.filter("c.gap").select(F.struct("g", F.col("c.v").alias("last")).alias("g"), F.col("__v").alias("v"))
+    values = values.join(inner.select("g").distinct().hint("rebalance"), "g", "left_semi").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    again = order_statistics(materialize(values.select("g", "v", F.lit(False).alias("gap"), "n")), inner, limit, k)
+    return found.filter("not gap").unionByName(again)
+
+
+def selected_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float], limit: int = CELLS,
+                       k: int = SKETCH_K, margin: float = MARGIN) -> DataFrame:
+    """One row per group with one column per ``name -> q`` (linear
+    interpolation); null values are skipped, null keys are a group."""
+    names = list(qs)
     targets = []
     for name, q in qs.items():
         rank = (F.col("n") - 1).cast("double") * F.lit(float(q))
         for side, r in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
             targets.append(F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (rank - F.floor(rank)).alias("frac"), r.alias("r")))
-    wanted = stats.select("g", F.explode(F.array(*targets)).alias("t")).select(
-        "g", F.struct(F.col("g").alias("g"), "t.name", "t.side", "t.frac").alias("tag"), F.col("t.r").alias("r"))
-    found = materialize(order_statistics(cells, wanted, limit, k))
-    missed = found.filter("gap")
-    if not missed.isEmpty():
-        # The values of the gaps that hold a rank; g is now group and gap.
-        gap = F.struct("g", F.col("v").alias("last")).alias("g")
-        inner = missed.select(F.struct("tag.g", F.col("v").alias("last")).alias("g"), "tag", F.col("off").alias("r"))
-        values = marked.filter("c.gap").select(F.struct("g", F.col("c.v").alias("last")).alias("g"), F.col("__v").alias("v"))
-        values = values.join(inner.select("g").distinct().hint("rebalance"), "g", "left_semi").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-        again = order_statistics(materialize(values.select("g", "v", F.lit(False).alias("gap"), "n")), inner, limit, k)
-        found = found.filter("not gap").unionByName(again)
+    found = _found(df, keys, value, list(qs.values()), F.array(*targets), limit, k, margin)
+    if found is None:
+        return df.sparkSession.createDataFrame([], ", ".join(f"`{n}` double" for n in names))
     value_of = {s: F.max(F.when(F.col("tag.side") == s, F.col("v"))) for s in ("lo", "hi")}
     pair = found.groupBy(F.col("tag.g").alias("g"), F.col("tag.name").alias("name")).agg(
         value_of["lo"].alias("lo"), value_of["hi"].alias("hi"), F.max("tag.frac").alias("frac"))
     interp = pair.select("g", "name", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("q"))
     out = interp.groupBy("g").agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in names])
     return out.select(*[F.col("g")[c].alias(c) for c in keys], *names)
+
+
+def middle_values(df: DataFrame, keys: list[str], value: str, limit: int = CELLS, k: int = SKETCH_K,
+                  margin: float = MARGIN) -> DataFrame:
+    """One row per group of ``keys``: n, the number of non-null values, ``at``, the (lower) middle one in
+    order, and ``below`` and ``above``, its neighbours in order (null where there is none). They
+    tell the group's median, and the median without any one of its values."""
+    mid = F.floor((F.col("n") - 1) / 2)
+    targets = [F.struct(F.lit("m").alias("name"), F.lit(side).alias("side"), F.lit(0.0).alias("frac"), (mid + step).alias("r"))
+               for side, step in (("below", -1), ("at", 0), ("above", 1))]
+    found = _found(df, keys, value, [0.5], F.array(*targets), limit, k, margin)
+    out = found.groupBy("tag.g").agg(F.max("tag.n").alias("n"), *[F.max(F.when(F.col("tag.side") == s, F.col("v"))).alias(s)
+                                                                 for s in ("below", "at", "above")])
+    return out.select(*[F.col("g")[c].alias(c) for c in keys], "n", "below", "at", "above")

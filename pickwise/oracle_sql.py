@@ -376,4 +376,23 @@ FROM (SELECT l_partkey, bool_or(l_returnflag = 'R') AS t, bool_or(l_returnflag <
 FROM fx_costs GROUP BY plant_id"""
     q["preprocessor_round_trip"], q["scenario_round_trip"], q["model_round_trip"] = q["filter_plants"], q["scenario_table"], q["serve_pair_cost"]
     q["group_gram"] = p + _gram_select()
+    refit = "WITH " + BASE + """c AS (SELECT demand_id, plant_id, cost FROM fx_costs WHERE cost IS NOT NULL),
+own AS (SELECT a.demand_id, a.plant_id, median(b.cost) AS m FROM c a LEFT JOIN c b ON a.plant_id = b.plant_id AND a.demand_id <> b.demand_id
+  GROUP BY a.demand_id, a.plant_id),
+med AS (SELECT plant_id, median(cost) AS m FROM c GROUP BY plant_id),
+fold_med AS (SELECT d.demand_id, med.plant_id, own.demand_id IS NOT NULL AS held, CASE WHEN own.demand_id IS NULL THEN med.m ELSE own.m END AS m
+  FROM fx_demands d CROSS JOIN med LEFT JOIN own ON own.demand_id = d.demand_id AND own.plant_id = med.plant_id),
+cut AS (SELECT demand_id, quantile_cont(m, 0.75) AS threshold FROM fold_med GROUP BY demand_id)
+"""
+    scale = ", ".join(f"avg(o.{c}) AS a_{c}, var_pop(o.{c}) * count(o.{c}) / count(*) AS v_{c}" for c in DF)
+    q["fold_parameters"] = refit + f""", par AS (SELECT d.demand_id, {scale} FROM fx_demands d JOIN fx_demands o ON o.demand_id <> d.demand_id GROUP BY d.demand_id)
+SELECT demand_id, {", ".join(f"round(a_{c}, 6) AS {c}__mean, round(sqrt(v_{c}), 6) AS {c}__std" for c in DF)}, round(threshold, 6) AS threshold
+FROM par JOIN cut USING (demand_id)"""
+    q["fold_training_rows"] = refit + f""", fine AS (SELECT plant_id FROM fx_plants WHERE {" AND ".join(f"{c} IS NOT NULL" for c in PF)}),
+size AS (SELECT plant_id, count(*) AS n FROM c WHERE demand_id IN (SELECT demand_id FROM fx_demands) AND plant_id IN (SELECT plant_id FROM fine)
+  GROUP BY plant_id)
+SELECT f.demand_id AS Demand_ID, round(any_value(threshold), 6) AS threshold,
+  CAST(coalesce(sum(n - held::INT) FILTER (f.m <= threshold), 0) AS BIGINT) AS n_train,
+  CAST(count(*) FILTER (f.m <= threshold AND held AND n IS NOT NULL) AS BIGINT) AS n_held_out
+FROM fold_med f JOIN cut USING (demand_id) LEFT JOIN size USING (plant_id) GROUP BY f.demand_id"""
     return q
