@@ -12,7 +12,9 @@ the document in which the budget ends is taken up to the budget.
 The prefix sum never sorts a whole source in one task: the keys of a source of n
 documents fall into about sqrt(n) buckets, bucket sums are prefix-summed per
 source, and only the documents of the one bucket in which the budget ends (about
-sqrt(n) again) are ordered.
+sqrt(n) again) are ordered. The buckets are even for any mix of quality weights: a key's place is
+its distribution function, the mean of 1 - exp(-w key) over the source's classes of weights
+(powers of the square root of two, of which a source has a few dozen at most).
 The decision is one row per source (epochs, last bucket, last key, words of the
 last document), so what is taken is found by joining documents with that table.
 
@@ -54,15 +56,19 @@ def draw(doc_id: Column, text: Column, seed: int) -> Column:
 
 
 def keyed(docs: DataFrame, seed: int = SEED, *carry: str) -> DataFrame:
-    """doc_id, source, size and the exponential key of each document (with the columns in carry)."""
+    """doc_id, source, size, quality and the exponential key of each document (with the columns in carry)."""
     sized = docs.select("doc_id", "source", "text", *carry, size_of(F.col("text")).alias("size"))
-    key = -F.log(draw(F.col("doc_id"), F.col("text"), seed)) / quality_of(F.col("text"), F.col("size"))
-    return sized.select("doc_id", "source", *carry, "size", key.alias("es_key"))
+    sized = sized.withColumn("quality", quality_of(F.col("text"), F.col("size")))
+    key = -F.log(draw(F.col("doc_id"), F.col("text"), seed)) / F.col("quality")
+    return sized.select("doc_id", "source", *carry, "size", "quality", key.alias("es_key"))
 
 
 def source_targets(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """One row per source: n_docs, source_size, weight, target."""
-    src = base.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size"))
+    """One row per source: n_docs, source_size, weight, target, and its classes of quality weights (w, n)."""
+    classes = base.groupBy("source", F.floor(-2 * F.log2("quality")).alias("class")).agg(
+        F.count("*").alias("n"), F.sum("size").alias("words"), F.avg("quality").alias("w"))
+    src = classes.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum("words").alias("source_size"),
+                                        F.sort_array(F.collect_list(F.struct("w", "n"))).alias("classes"))
     # Windows over the source table, which has one row per source.
     name = Window.orderBy(F.col("source").asc_nulls_last())
     src = src.withColumn("weight", F.element_at(
@@ -76,12 +82,13 @@ def source_targets(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: fl
                                    - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(onward))
     src = src.withColumn("level", F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(everything))
     target = F.least("most", F.coalesce(F.col("level") * F.col("weight"), F.col("most")))
-    return src.select("source", "n_docs", "source_size", "weight", target.alias("target"))
+    return src.select("source", "n_docs", "source_size", "weight", target.alias("target"), "classes")
 
 
-def _bucket(key: Column, n: Column) -> Column:
-    """Bucket 0 .. n-1, increasing with the key."""
-    return F.least(n - 1, F.floor((F.lit(1.0) - F.exp(-key)) * n)).cast("long")
+def _bucket(key: Column, n: Column, n_docs: Column, classes: Column) -> Column:
+    """Bucket 0 .. n-1, increasing with the key; about equally many documents in each."""
+    below = F.aggregate(classes, F.lit(0.0), lambda a, c: a + c["n"] * (F.lit(1.0) - F.exp(-key * c["w"])))
+    return F.least(n - 1, F.floor(below / n_docs * n)).cast("long")
 
 
 def decisions(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -92,8 +99,9 @@ def decisions(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float =
     src = (src.withColumn("epochs", epochs)
            .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
            .withColumn("n_buckets", F.ceil(F.sqrt("n_docs")).cast("long")))
-    own = src.select(F.col("source").alias("s"), "rest", "n_buckets")
-    rows = base.join(own, F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", _bucket(F.col("es_key"), F.col("n_buckets")))
+    own = src.select(F.col("source").alias("s"), "rest", "n_buckets", "n_docs", "classes")
+    bucket = _bucket(F.col("es_key"), F.col("n_buckets"), F.col("n_docs"), F.col("classes"))
+    rows = base.join(own, F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", bucket)
     hist = rows.groupBy("source", "rest", "bucket").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("bucket")
     hist = hist.withColumn("upto", F.sum("words").over(running))
@@ -108,14 +116,14 @@ def decisions(base: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float =
     last = last.groupBy("source").agg(F.min(F.struct("es_key", part.alias("part"))).alias("end")).select(
         F.col("source").alias("ls"), F.col("end.es_key").alias("cut_key"), F.col("end.part").alias("cut_part"))
     out = src.join(ends, F.col("source").eqNullSafe(F.col("cs")), "left").join(last, F.col("source").eqNullSafe(F.col("ls")), "left")
-    return materialize(out.select("source", "source_size", "weight", "target", "epochs", "n_buckets", "cut_bucket", "cut_key", "cut_part"))
+    return materialize(out.select("source", "source_size", "weight", "target", "epochs", "n_buckets", "n_docs", "classes", "cut_bucket", "cut_key", "cut_part"))
 
 
 def taken_of(rows: DataFrame, decided: DataFrame) -> DataFrame:
     """rows (keyed documents) with source_size, target, the whole copies the mix
     takes, and the words of one more copy that is cut."""
     own = decided.withColumnRenamed("source", "s")
-    bucket = _bucket(F.col("es_key"), F.col("n_buckets"))
+    bucket = _bucket(F.col("es_key"), F.col("n_buckets"), F.col("n_docs"), F.col("classes"))
     at_cut = bucket == F.col("cut_bucket")
     whole = (bucket < F.col("cut_bucket")) | (at_cut & (F.col("es_key") < F.col("cut_key")))
     part = F.when(at_cut & (F.col("es_key") == F.col("cut_key")), F.least("size", "cut_part")).otherwise(0)
@@ -128,7 +136,7 @@ def taken_of(rows: DataFrame, decided: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, part, taken (words)."""
     base = materialize(keyed(docs, seed))
-    return taken_of(base, decisions(base, **options)).withColumn("taken", F.col("copies") * F.col("size") + F.col("part")).drop("es_key")
+    return taken_of(base, decisions(base, **options)).withColumn("taken", F.col("copies") * F.col("size") + F.col("part")).drop("es_key", "quality")
 
 
 def mixed_rows(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:

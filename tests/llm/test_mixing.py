@@ -1,6 +1,7 @@
 import duckdb
 import pandas as pd
 from pickwise.llm import mixing, sql
+from pyspark.sql import functions as F
 
 from .helpers import documents, odd_rows, prose
 
@@ -74,3 +75,17 @@ def test_odd_rows(spark):
 def test_empty_and_wordless_tables(spark):
     assert run(documents(spark, [])) == []
     assert [r[4] for r in run(documents(spark, [(1, "", "a"), (2, None, None)]))] == [0, 0]
+
+
+def test_buckets_are_even_for_any_weights(spark):
+    # A third of the documents have five or forty symbols a word: their keys are large.
+    rows = [(i, prose(i, 8) if i % 3 else ("#####a " if i % 2 else "$" * 40 + "b ") * 8, "s") for i in range(4000)]
+    base = mixing.keyed(documents(spark, rows))
+    placed = base.join(mixing.decisions(base), "source").select(
+        mixing._bucket(F.col("es_key"), F.col("n_buckets"), F.col("n_docs"), F.col("classes")).alias("b"), "es_key", "n_buckets")
+    counts = {r.b: r["count"] for r in placed.groupBy("b").count().collect()}
+    n = placed.first().n_buckets
+    assert min(counts) >= 0 and max(counts) < n and max(counts.values()) < 2 * 4000 / n
+    order = [r.b for r in placed.orderBy("es_key").collect()]
+    assert order == sorted(order)
+    assert run(documents(spark, rows)) == by_sql(documents(spark, rows))
