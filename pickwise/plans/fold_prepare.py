@@ -222,7 +222,7 @@ def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame
     top = steps[-1] if steps else 0.0
     by_slot = {r["slot"]: np.array([r[c] for c in names]) for r in per_plant.filter(F.col("old") <= top).groupBy(
         (_slot(F.col("old"), steps) if steps else F.lit(0)).alias("slot")).agg(*[F.sum(c).alias(c) for c in names]).collect()}
-    running, prefix = np.zeros(len(names)), []
+    running, prefix = np.zeros(len(names)), [(-1, *[0.0] * len(names))]      # slot -1: no threshold, no training rows
     for i in range(len(steps) + 1):
         running = running + by_slot.get(i, 0.0)
         prefix.append((i, *running.tolist()))
@@ -236,7 +236,7 @@ def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame
     own = own.select(DEMAND, "n_held_out", *[(-F.col(c)).alias(c) for c in names])
     turned = judged.filter("turn <> 0").select(DEMAND, PLANT, "turn").join(per_plant.hint("rebalance"), PLANT)
     turned = turned.select(DEMAND, F.lit(0).cast("long").alias("n_held_out"), *[(F.col(c) * F.col("turn")).alias(c) for c in names])
-    start = limits.filter(F.col("threshold").isNotNull()).withColumn("slot", _slot(F.col("threshold"), steps) if steps else F.lit(0))
+    start = limits.withColumn("slot", F.when(F.col("threshold").isNull(), -1).otherwise(_slot(F.col("threshold"), steps) if steps else F.lit(0)))
     start = start.join(F.broadcast(prefix_df), "slot").select(DEMAND, F.lit(0).cast("long").alias("n_held_out"), *names)
     stats = start.unionByName(own).unionByName(turned).groupBy(DEMAND).agg(F.sum("n_held_out").alias("n_held_out"), *[F.sum(c).alias(c) for c in names])
     stats = stats.join(fitted.folds.withColumnRenamed(key, DEMAND), DEMAND)
