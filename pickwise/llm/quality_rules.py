@@ -3,8 +3,14 @@
 Base rules count words and repeats; the method's verdict comes from public
 vocabularies: how many characters a token of each vocabulary holds (fertility),
 which share of the tokens of the byte-fallback vocabulary are single bytes, and
-the entropy of its tokens. Each measure has a rejection band per script (the
-script of most letters); a text outside a band is rejected.
+the entropy of its tokens. Wide limits per script (the script of most letters)
+reject what is no text at all. Inside them every script and language has
+rejection bands of its own, taken from all documents that pass the base rules:
+fertility may lie SPREADS median absolute deviations from the median, where a
+deviation counts times the root of the text's tokens (the mean of a short text
+strays further), entropy ENTROPY_SPREADS times as far below the median as the
+lower quartile. Medians are exact on rounded values: counts per value are
+partially aggregated, so neither a hot language nor the order of rows matters.
 
 Words are hashed on their bytes and only words that a task has not met yet are
 tokenised, so a word costs its tokenisation once per task, not once per use.
@@ -13,8 +19,10 @@ are those of its words. Files are found by ``public_tokenizers.path`` or in the
 folder given.
 
 Nulls and edges: a null or wordless text has no words, fails the base rules and
-is not kept; fewer than ``MIN_TOKENS`` tokens give no entropy verdict; rows come
-one for one (repeated rows alike); extra columns are ignored.
+is not kept; fewer than ``MIN_TOKENS`` tokens give no entropy verdict; a null
+language is one of its own; a language of fewer than ``LEAST_DOCS`` documents that pass
+the base rules and the limits has the limits alone; rows come one for one
+(repeated rows alike); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +32,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .text import ByteHash, Slice, bounds, slices, window_hashes, words
+from ..functions.reuse import materialize
+from .text import ByteHash, Slice, slices, window_hashes, words, written
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
 MIN_TOKENS = 64
@@ -36,15 +47,21 @@ WINDOW = 8
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
-#: Rejection bands: a text outside [low, high] is rejected. chars_piece and chars_byte
+#: A text outside [low, high] is rejected, whatever the corpus holds. chars_piece and chars_byte
 #: are characters per token of the two vocabularies, bytes the byte-fallback
 #: share, entropy bits per token (relative to the most its length allows).
-BANDS = {
+LIMITS = {
     "latin": {"chars_piece": (1.6, 8.0), "chars_byte": (1.6, 8.0), "bytes": (0.0, 0.10), "entropy": (0.6, 1.0)},
     "cyrillic": {"chars_piece": (1.2, 7.0), "chars_byte": (0.6, 7.0), "bytes": (0.0, 0.10), "entropy": (0.6, 1.0)},
     "other": {"chars_piece": (0.2, 7.0), "chars_byte": (0.2, 7.0), "bytes": (0.0, 1.0), "entropy": (0.6, 1.0)},
 }
-SCRIPTS = tuple(BANDS)
+SCRIPTS = tuple(LIMITS)
+#: Half-widths of the bands of a language, and the least half-width as a share of the median.
+SPREADS, ENTROPY_SPREADS, LEAST_SHARE = 9.0, 4.0, 0.05
+#: Fewer documents than this are no measure of a language.
+LEAST_DOCS = 100
+#: Measures are rounded to 1 / STEPS for the medians, deviations to 1 / 100.
+STEPS = 10000
 
 
 def tokenizer_file(name: str, folder: str | None) -> str:
@@ -190,15 +207,19 @@ def scripts(s: Slice) -> np.ndarray:
     return np.argmax(sums, axis=0)
 
 
-def rule_batches(folder: str | None, bands: dict):
-    """mapInArrow function: (doc_id, text) -> the columns of ``quality_rules``."""
-    limits = {m: np.array([bands[k][m] for k in SCRIPTS]) for m in ("chars_piece", "chars_byte", "bytes", "entropy")}
+MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+            "in_limits boolean, script string, n_tokens long, chars_per_token double, chars_per_byte_token double, "
+            "byte_share double, token_entropy double")
+
+
+def measure_batches(folder: str | None, limits_by_script: dict, returned: list[str]):
+    """mapInArrow function: rows with a text -> their ``returned`` columns and a struct of MEASURES."""
+    limits = {m: np.array([limits_by_script[k][m] for k in SCRIPTS]) for m in ("chars_piece", "chars_byte", "bytes", "entropy")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, tokens = ByteHash(), None
         for b in batches:
             tokens = tokens or WordTokens(folder)
-            ids = b.column("doc_id")
             for s in slices(b.column("text"), RULE_BYTES):
                 n = s.hi - s.lo
                 start, end, doc = words(s)
@@ -226,39 +247,86 @@ def rule_batches(folder: str | None, bands: dict):
                     low, high = limits[m][kind].T
                     good = (x >= low) & (x <= high)
                     ok &= (good | (total < MIN_TOKENS)) if m == "entropy" else good
-                out = {"doc_id": ids.slice(s.lo, n), "n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols,
-                       "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "base_failed": base_failed, "kept": ok & ~base_failed,
+                out = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup,
+                       "n_repeat_words": n_repeat, "base_failed": base_failed, "in_limits": ok,
                        "script": pa.array([SCRIPTS[i] for i in kind], pa.string()), "n_tokens": n_piece,
                        "chars_per_token": measures["chars_piece"], "chars_per_byte_token": measures["chars_byte"],
                        "byte_share": measures["bytes"], "token_entropy": entropy}
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out.values()], names=list(out))
+                struct = pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out.values()], names=list(out))
+                own = b.slice(s.lo, n)
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in returned), struct], names=[*returned, "measures"])
     return run
 
 
-RULES_SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                "base_failed boolean, kept boolean, script string, n_tokens long, chars_per_token double, "
-                "chars_per_byte_token double, byte_share double, token_entropy double")
-
-
-def quality_rules(docs: DataFrame, folder: str | None = None, bands: dict | None = None) -> DataFrame:
+def _schema(returned: str | StructType) -> StructType:
+    fields = (StructType.fromDDL(returned) if isinstance(returned, str) else returned).fields
+    return StructType([*fields, StructField("measures", StructType.fromDDL(MEASURES))])
+
+
+def _language() -> Column:
+    """A key of the language; null has its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit(""))
+
+
+def language_bands(rows: DataFrame) -> DataFrame:
+    """script, language -> the median (mid_*) and half-width (half_*) of its bands; rows
+    carry lang and measures. Half-widths of fertility are for a text of one token."""
+    m = F.col("measures")
+    values = F.array(*(F.struct(F.lit(name).alias("name"), x.alias("x")) for name, x in (
+        ("piece", m["chars_per_token"]), ("byte", m["chars_per_byte_token"]),
+        ("entropy", F.when(m["n_tokens"] >= MIN_TOKENS, m["token_entropy"])))))
+    long = (rows.filter(~m["base_failed"] & m["in_limits"])
+            .select(m["script"].alias("script"), _language().alias("language"), m["n_tokens"].alias("n_tokens"), F.inline(values))
+            .filter("x is not null"))
+    group = ["script", "language", "name"]
+    # Written tables have a known size: Spark broadcasts them below its threshold, else it shuffles.
+    middle = written(
+        long.groupBy(*group, F.round(F.col("x") * STEPS).alias("v")).agg(F.count("*").alias("n"))
+        .groupBy(*group).agg((F.percentile("v", F.lit(0.5), F.col("n")) / STEPS).alias("mid"),
+                             (F.percentile("v", F.lit(0.25), F.col("n")) / STEPS).alias("low"), F.sum("n").alias("docs"))
+        .filter(F.col("docs") >= LEAST_DOCS))
+    away = F.abs(F.col("x") - F.col("mid")) * F.sqrt("n_tokens")
+    spread = (long.filter("name <> 'entropy'").join(middle, group)
+              .groupBy(*group, F.round(F.least(away, F.lit(1e6)) * 100).alias("v")).agg(F.count("*").alias("n"))
+              .groupBy(*group).agg((F.percentile("v", F.lit(0.5), F.col("n")) / 100).alias("spread")))
+    half = F.when(F.col("name") == "entropy", ENTROPY_SPREADS * (F.col("mid") - F.col("low"))).otherwise(SPREADS * F.col("spread"))
+    bands = middle.join(spread, group, "left").withColumn("half", half)
+    pick = lambda c, name: F.max(F.when(F.col("name") == name, F.col(c))).alias(f"{c}_{name}")
+    return written(bands.groupBy("script", "language").agg(*(pick(c, n) for n in ("piece", "byte", "entropy") for c in ("mid", "half"))))
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """rows (with lang and measures) with ``kept``: base rules, limits and the bands of all rows."""
+    bands = language_bands(rows)
+    m = F.col("measures")
+
+    def inside(x: Column, name: str, scale: Column | None = None) -> Column:
+        mid, half = F.col(f"bands.mid_{name}"), F.col(f"bands.half_{name}")
+        width = F.greatest(half if scale is None else half / scale, LEAST_SHARE * mid)
+        near = x >= mid - width if scale is None else F.abs(x - mid) <= width
+        return F.coalesce(near, F.lit(True))
+
+    root = F.sqrt(m["n_tokens"])
+    good = (inside(m["chars_per_token"], "piece", root) & inside(m["chars_per_byte_token"], "byte", root)
+            & (inside(m["token_entropy"], "entropy") | (m["n_tokens"] < MIN_TOKENS)))
+    side = bands.select(F.struct("*").alias("bands"))
+    joined = rows.join(side, (m["script"] == F.col("bands.script")) & (_language() == F.col("bands.language")), "left")
+    return joined.withColumn("kept", ~m["base_failed"] & m["in_limits"] & good).drop("bands")
+
+
+def quality_rules(docs: DataFrame, folder: str | None = None, limits: dict | None = None) -> DataFrame:
     """One row per document with its counts, measures, base_failed and kept."""
-    return docs.select("doc_id", "text").mapInArrow(rule_batches(folder, bands or BANDS), RULES_SCHEMA)
-
-
-def keep_good(docs: DataFrame, folder: str | None = None, bands: dict | None = None) -> DataFrame:
-    """The rows of docs that the rules keep, in one pass over them."""
-    rules = rule_batches(folder, bands or BANDS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = {}
-
-        def feed():
-            for b in batches:
-                state["batch"], state["kept"] = b, []
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], names=["doc_id", "text"])
-        # The rules answer a batch in slices, in order; a batch is whole when its rows are.
-        for r in rules(feed()):
-            state["kept"].append(r.column(r.schema.get_field_index("kept")))
-            if sum(map(len, state["kept"])) == state["batch"].num_rows:
-                yield state["batch"].filter(pa.concat_arrays(state["kept"]))
-    return docs.mapInArrow(run, docs.schema)
+    rows = materialize(docs.select("doc_id", "lang", "text").mapInArrow(
+        measure_batches(folder, limits or LIMITS, ["doc_id", "lang"]), _schema("doc_id long, lang string")))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    rest = ["script", "n_tokens", "chars_per_token", "chars_per_byte_token", "byte_share", "token_entropy"]
+    return judged(rows).select("doc_id", *(f"measures.{c}" for c in first), "kept", *(f"measures.{c}" for c in rest))
+
+
+def keep_good(docs: DataFrame, folder: str | None = None, limits: dict | None = None) -> DataFrame:
+    """The rows of docs that the rules keep. They are measured once and written with
+    their measures, since the bands need all of them. Other columns travel in one struct, so their names are free."""
+    packed = docs.select("lang", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("lang", "text"))).alias("other"))
+    rows = written(packed.mapInArrow(measure_batches(folder, limits or LIMITS, packed.columns), _schema(packed.schema)))
+    return judged(rows).filter("kept").select(
+        *(F.col(f"`{c}`") if c in ("lang", "text") else F.col(f"other.`{c}`") for c in docs.columns))
