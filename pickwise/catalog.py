@@ -89,12 +89,10 @@ def scenario(spark: SparkSession, sf: str) -> DataFrame:
     return regret.scenario_table(predicted(spark, sf))
 
 
-def segment_predicted(spark: SparkSession, sf: str) -> DataFrame:
+def segment_predicted(costs: DataFrame, demands: DataFrame) -> DataFrame:
     """Second stand-in: the plant's mean cost over the other demands of the
     same market segment."""
-    costs = fx.fixture_costs(spark, sf).filter(F.col("cost").isNotNull())
-    seg = fx.fixture_demands(spark, sf).select("demand_id", "segment")
-    rows = costs.join(seg, "demand_id")
+    rows = costs.join(demands.select("demand_id", "segment"), "demand_id")
     tot = rows.groupBy("plant_id", "segment").agg(F.sum("cost").alias("tot"), F.count("cost").alias("n"))
     j = rows.join(tot.hint("rebalance"), ["plant_id", "segment"])
     return j.select(F.col("demand_id").alias(cmb.DEMAND), F.col("plant_id").alias(cmb.PLANT),
@@ -338,13 +336,16 @@ def q_best_combo(spark, sf):
 
 
 def _two_predictors(spark, sf):
-    base = predicted(spark, sf)
-    opt = segment_predicted(spark, sf)
-    flags = split.split_groups(base, TEST_FRACTION, SEED)
+    # The pairs feed both predictors, and each scenario table (one row per demand) feeds two error
+    # tables and the split: written once, so that no error table joins the lines again.
+    costs = cv.materialize(fx.fixture_costs(spark, sf).filter(F.col("cost").isNotNull()))
+    base = fx.with_loo_plant_mean(costs).select(
+        F.col("demand_id").alias(cmb.DEMAND), F.col("plant_id").alias(cmb.PLANT),
+        F.col("cost").alias(cmb.COST), F.col("pred").alias("prediction"))
+    sb = cv.materialize(regret.scenario_table(base))
+    so = cv.materialize(regret.scenario_table(segment_predicted(costs, fx.fixture_demands(spark, sf))))
+    flags = split.split_groups(sb, TEST_FRACTION, SEED)
     test_ids = flags.filter("is_test").select("Demand_ID")
-    # Each scenario table feeds two error tables; Spark reuses the identical
-    # exchanges inside one query, so nothing is written in between.
-    sb, so = regret.scenario_table(base), regret.scenario_table(opt)
     return {("baseline", "test"): sb.join(test_ids, "Demand_ID", "left_semi"),
             ("baseline", "all"): sb,
             ("optimized", "test"): so.join(test_ids, "Demand_ID", "left_semi"),
