@@ -4,11 +4,16 @@ import os
 import sys
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as se  # noqa: E402
+from pickwise.functions import reuse  # noqa: E402
+from pickwise.plans import gram, models  # noqa: E402
 
 
 def small_tables(spark, folder, n_cust=12, n_supp=5):
@@ -46,3 +51,54 @@ def test_error_tables_do_not_join_the_lines_again(spark, tmp_path, name):
     for a, b in zip(got, want):
         for x, y in zip(a, b):
             assert x == (pytest.approx(y, abs=1e-5) if isinstance(y, float) else y)
+
+
+def test_a_fit_reads_partitions_of_bounded_size(spark, monkeypatch):
+    rows = spark.createDataFrame([(float(i), float(i % 7)) for i in range(100)], "DF1 double, Cost double").coalesce(1)
+    assert reuse.spread(rows) is rows
+    dealt = reuse.spread(rows, 30)
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 4 and max(sizes) <= 31
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    read = []
+    monkeypatch.setattr(models, "spread", lambda df: (read.append(df.columns), reuse.spread(df, 30))[1])
+    models.fit_model("random_forest", {"n_estimators": 2, "max_depth": 2}, 1, rows, ["DF1"])
+    assert read == [["DF1", "Cost"]]
+
+
+def test_statistics_per_group_are_one_row_per_group(spark):
+    rng = np.random.default_rng(3)
+    rows = [(None if d == 5 else d, float(x), float(y)) for d in range(6) for x, y in rng.normal(size=(40 if d else 9000, 2))]
+    df = spark.createDataFrame(rows, "g long, x double, y double").repartition(8)
+    parts = gram.gram_parts(df, ["x"], "y", "g", count="rows")
+    assert not any("HashAggregate" in line for line in parts._jdf.queryExecution().executedPlan().toString().splitlines())
+    assert parts.count() == 6
+    got = {r.g: r for r in gram.sum_by_key(parts, "g").collect()}
+    for g in {r[0] for r in rows}:
+        x, y = np.array([r[1:] for r in rows if r[0] == g]).T
+        want = [len(x), y.sum(), (y * y).sum(), x.sum(), (x * y).sum(), (x * x).sum(), len(x)]
+        assert [got[g][c] for c in [*gram.stat_columns(1), "rows"]] == pytest.approx(want, rel=1e-12)
+
+
+def test_running_sums_carry_a_key_over_tables():
+    tables = [pa.table({"k": [None, 1, 1], "v": [1.0, 2.0, None]}), pa.table({"k": [1], "v": [4.0]}), pa.table({"k": [1, 2], "v": [8.0, None]})]
+    rows = pa.Table.from_batches(gram._running_sums(iter(tables), "k", ["v"])).to_pylist()
+    assert rows == [{"k": None, "v": 1.0}, {"k": 1, "v": 14.0}, {"k": 2, "v": None}]
+
+
+def test_few_candidates_are_broadcast(spark):
+    few = spark.range(10)
+    assert "strategy=broadcast" in spark.range(100).join(reuse.beside(few), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" in reuse.beside(few, 5)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_folds_may_start_from_another_solution():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(30, 200, 3))
+    y = x @ np.array([1.0, 0.5, 0.0]) + rng.normal(size=(30, 200))
+    g, c = np.einsum("bni,bnj->bij", x, x), np.einsum("bni,bn->bi", x, y)
+    n = np.full(30, 200.0)
+    cold = gram.lasso_cd_batch(g, c, n, 0.1)
+    warm = gram.lasso_cd_batch(g, c, n, 0.1, np.repeat(cold[:1], 30, axis=0))
+    one = np.array([gram.lasso_cd(a, b, 200.0, 0.1)[0] for a, b in zip(g, c)])
+    assert np.allclose(cold, one, atol=1e-12) and np.allclose(warm, one, atol=1e-10)
