@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .reuse import materialize, reusable
+from .reuse import beside, materialize, reusable
 
 #: Size of the sketches, and half the width of a bracket as a share of the group: some
 #: three times the rank error of a sketch of this size.
@@ -99,7 +99,7 @@ def _found(df: DataFrame, keys: list[str], value: str, qs: list[float], targets:
     stats = materialize(stats.select("g", "n", *edges))
     if keys:
         pairs = [(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(len(qs))]
-        marked = rows.join(stats.drop("n").hint("rebalance"), "g").select("g", "__v", _cell(pairs).alias("c"))
+        marked = rows.join(beside(stats.drop("n")), "g").select("g", "__v", _cell(pairs).alias("c"))
     else:
         one = stats.first()      # one row of bracket ends
         if one is None:

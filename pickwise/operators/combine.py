@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.reuse import beside
+
 DEMAND = "Demand_ID"
 PLANT = "Plant_ID"
 COST = "Cost"
@@ -31,16 +33,16 @@ def combine(demand: DataFrame, plants: DataFrame, costs: DataFrame, demand_featu
             plant_order: str | None = None, drop_missing: bool = True, flag: str | None = None) -> DataFrame:
     """Costs joined to demand and plant features (inner joins: a cost row whose
     demand or plant is unknown has nothing to look up and is dropped; count
-    them with ``orphan_counts``). Adaptive execution broadcasts a
-    side by its measured size, or splits a hot key: the aggregated sides are
-    rebalanced, so that they do not bring along a partitioning by the key. ``drop_missing`` drops rows with any
+    them with ``orphan_counts``). The plants are counted and broadcast if they are few; else, and for the
+    demands, adaptive execution broadcasts a side by its measured size, or splits a hot key: the aggregated
+    sides are rebalanced, so that they do not bring along a partitioning by the key. ``drop_missing`` drops rows with any
     missing value (P12); ``flag`` keeps them and names a column that tells the complete ones,
     so that ``counts_in_passing`` needs no second pass over the join."""
     d = demand.select(demand_key, *demand_features)
     p = plants.select(plant_key, *plant_features)
     if dedupe:
         d = first_per_key(demand, demand_key, demand_features, demand_order).hint("rebalance")
-        p = first_per_key(plants, plant_key, plant_features, plant_order).hint("rebalance")
+        p = beside(first_per_key(plants, plant_key, plant_features, plant_order))
     c = costs.select(F.col(demand_key), F.col(plant_key), F.col(cost).cast("double").alias(COST))
     joined = c.join(d, demand_key).join(p, plant_key)
     out = joined.select(F.col(demand_key).alias(DEMAND), F.col(plant_key).alias(PLANT),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
 from ..functions.quantiles import DEFAULT_METHOD, grouped_quantiles, quantile_expr
-from ..functions.reuse import reusable
+from ..functions.reuse import beside, reusable
 from ..session import ensure_checkpoint_dir
 
 STRATEGIES = ("mean", "median", "zero")
@@ -188,7 +188,7 @@ def filter_costs(costs: DataFrame, demand: DataFrame, flags: DataFrame, demand_k
     good = flags.filter(F.col("is_good")).select(plant_key)
     return (costs.filter(F.col(cost).isNotNull())
             .join(demand.select(demand_key), demand_key, "left_semi")
-            .join(good, plant_key, "left_semi"))
+            .join(beside(good), plant_key, "left_semi"))
 
 
 # --------------------------------------------------------------- the fitter

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
 from ..functions.quantiles import grouped_quantiles
-from ..functions.reuse import materialize
+from ..functions.reuse import beside, materialize
 from ..functions.selection import middle_values
 from ..operators.combine import COST, DEMAND, PLANT, first_per_key
 from ..operators.prepare import Preprocessor, ScalerParams, fit_scaler
@@ -112,7 +112,7 @@ def median_changes(costs: DataFrame, demand_key: str, plant_key: str, cost: str)
     new = F.when(F.col("n") == 1, F.lit(None).cast("double")) \
         .when(odd & (x < F.col("at")), _between("at", "above")).when(odd & (x > F.col("at")), _between("below", "at")) \
         .when(odd, _between("below", "above")).when(x <= F.col("at"), F.col("above")).otherwise(F.col("at"))
-    pairs = rows.filter(F.col(demand_key).isNotNull()).join(middle.hint("rebalance"), plant_key)
+    pairs = rows.filter(F.col(demand_key).isNotNull()).join(beside(middle), plant_key)
     pairs = pairs.select(demand_key, plant_key, cost, "old", new.alias("new"))
     return middle.select(plant_key, "old", "n"), pairs
 
@@ -213,8 +213,12 @@ def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame
                  *[F.col(dfeat[i]).isNotNull().cast("double").alias(f"u_{i}") for i in marks])
     p = fit_scaler(plants, pfeat).apply(first_per_key(plants, plant, pfeat)).na.drop(how="any") if pfeat else plants.select(plant).distinct()
     columns = [f"z_{i}" for i in range(len(dfeat))] + [f"u_{i}" for i in marks] + list(pfeat)
-    rows = fitted.pairs.join(d.hint("rebalance"), key).join(p.hint("rebalance"), plant)
-    rows = materialize(rows.select(F.col(key).alias(DEMAND), F.col(plant).alias(PLANT), F.col(s.cost).alias(COST), "old", "new", *columns))
+    # The fold's cut-off comes with the demand, so that the rows are joined once; they are dealt by demand
+    # (adaptive execution splits a large one) for that join and for the folds' own statistics.
+    limits = fitted.folds.select(key, "threshold")
+    d = d.join(limits, key, "left")
+    rows = fitted.pairs.join(beside(materialize(p)), plant).hint("rebalance", F.col(key)).join(d, key)
+    rows = materialize(rows.select(F.col(key).alias(DEMAND), F.col(plant).alias(PLANT), F.col(s.cost).alias(COST), "old", "new", "threshold", *columns))
     names = gram.stat_columns(len(columns))
     # Statistics per plant, and of all plants up to every step of the cut-off (at most len(steps) + 1 rows).
     per_plant = materialize(rows.groupBy(PLANT).agg(F.first("old").alias("old"), *gram.stat_aggs(columns, COST)))
@@ -228,17 +232,16 @@ def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame
         prefix.append((i, *running.tolist()))
     prefix_df = rows.sparkSession.createDataFrame(prefix, "slot int, " + ", ".join(f"{c} double" for c in names))
     # Own rows go; plants whose flag the fold's own cost decides come or go.
-    limits = fitted.folds.select(F.col(key).alias(DEMAND), "threshold")
-    judged = rows.join(limits.hint("rebalance"), DEMAND)
+    limits = limits.withColumnRenamed(key, DEMAND)
     before, after = F.coalesce(F.col("old") <= F.col("threshold"), F.lit(False)), F.coalesce(F.col("new") <= F.col("threshold"), F.lit(False))
-    judged = judged.withColumn("good", after).withColumn("turn", after.cast("int") - before.cast("int"))
-    own = judged.filter("good").groupBy(DEMAND).agg(*gram.stat_aggs(columns, COST), F.count(F.lit(1)).alias("n_held_out"))
+    judged = rows.withColumn("good", after).withColumn("turn", after.cast("int") - before.cast("int"))
+    own = gram.gram_parts(judged.filter("good"), columns, COST, DEMAND, count="n_held_out", dealt=True)
     own = own.select(DEMAND, "n_held_out", *[(-F.col(c)).alias(c) for c in names])
-    turned = judged.filter("turn <> 0").select(DEMAND, PLANT, "turn").join(per_plant.hint("rebalance"), PLANT)
-    turned = turned.select(DEMAND, F.lit(0).cast("long").alias("n_held_out"), *[(F.col(c) * F.col("turn")).alias(c) for c in names])
+    turned = judged.filter("turn <> 0").select(DEMAND, PLANT, "turn").join(beside(per_plant), PLANT)
+    turned = turned.select(DEMAND, F.lit(0.0).alias("n_held_out"), *[(F.col(c) * F.col("turn")).alias(c) for c in names])
     start = limits.withColumn("slot", F.when(F.col("threshold").isNull(), -1).otherwise(_slot(F.col("threshold"), steps) if steps else F.lit(0)))
-    start = start.join(F.broadcast(prefix_df), "slot").select(DEMAND, F.lit(0).cast("long").alias("n_held_out"), *names)
-    stats = start.unionByName(own).unionByName(turned).groupBy(DEMAND).agg(F.sum("n_held_out").alias("n_held_out"), *[F.sum(c).alias(c) for c in names])
+    start = start.join(F.broadcast(prefix_df), "slot").select(DEMAND, F.lit(0.0).alias("n_held_out"), *names)
+    stats = gram.sum_by_key(start.unionByName(own).unionByName(turned), DEMAND).withColumn("n_held_out", F.col("n_held_out").cast("long"))
     stats = stats.join(fitted.folds.withColumnRenamed(key, DEMAND), DEMAND)
     return FoldSystems(fitted, judged.drop("turn"), columns, marks, materialize(stats))
 

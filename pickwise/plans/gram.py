@@ -1,8 +1,10 @@
 """Lasso through sufficient statistics.
 
 For rows ``(x, y)`` the statistics ``n, sum x, sum y, sum x x', sum x y,
-sum y^2`` are plain ``sum`` aggregates (JVM-side, partial, skew-safe). They
-add up over rows, so
+sum y^2`` add up over rows. Over a whole table they are plain ``sum`` aggregates;
+per group the rows are dealt by group (a large group is split), sorted, and
+summed in Arrow tables, so that one row per group is shuffled again, not one
+wide row per group and task. So
 
 * one aggregate over the training rows gives the whole training system;
 * one ``groupBy(group)`` gives every group's share, and *total minus share*
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +46,73 @@ def stat_aggs(features: list[str], label: str) -> list[Column]:
 
 def gram_stats(df: DataFrame, features: list[str], label: str, group: str | None = None) -> DataFrame:
     """The statistics, over all rows or per ``group`` (one row per group)."""
-    aggs = stat_aggs(features, label)
-    return df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+    if not group:
+        return df.agg(*stat_aggs(features, label))
+    return sum_by_key(gram_parts(df, features, label, group), group)
+
+
+#: Rows whose products one Arrow table holds (32,768 rows with 78 statistics: 20 MB).
+CHUNK = 32_768
+
+
+def _chunks(batches):
+    """Arrow tables of at least CHUNK rows (the last: the rest) from record batches."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= CHUNK:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _running_sums(tables, key: str, columns: list[str]):
+    """Sums per key of tables in order of the key: a key is given out when the next one begins."""
+    last = None
+    for t in tables:
+        if last is not None:
+            t = pa.concat_tables([last, t])
+        t = t.group_by([key], use_threads=False).aggregate([(c, "sum") for c in columns])
+        t = pa.table({n: t[n if n == key else f"{n}_sum"] for n in [key, *columns]})
+        last = t.slice(t.num_rows - 1)
+        yield from t.slice(0, t.num_rows - 1).to_batches()
+    if last is not None:
+        yield from last.to_batches()
+
+
+def gram_parts(df: DataFrame, features: list[str], label: str, group: str, count: str | None = None,
+               dealt: bool = False) -> DataFrame:
+    """Statistics per group and task: the rows are dealt by group (adaptive execution splits a large one; not
+    again if they are ``dealt``) and sorted, and sums are run over Arrow tables. ``count`` names one
+    more column, the number of rows."""
+    p = len(features)
+    names = stat_columns(p) + ([count] if count else [])
+
+    def products(t):
+        x = [t[f"x{i}"] for i in range(p)]
+        one, y = pa.array(np.ones(t.num_rows)), t["y"]
+        cols = [one, y, pc.multiply(y, y), *x, *[pc.multiply(v, y) for v in x], *[pc.multiply(x[i], x[j]) for i in range(p) for j in range(i, p)]]
+        return pa.table(dict(zip([group, *names], [t[group], *cols, *([one] if count else [])])))
+
+    def run(batches):
+        return _running_sums((products(t) for t in _chunks(batches)), group, names)
+
+    kind = df.schema[group].dataType.simpleString()
+    rows = df.select(group, F.col(label).cast("double").alias("y"), *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    rows = rows if dealt else rows.hint("rebalance", F.col(group))
+    return rows.sortWithinPartitions(group).mapInArrow(run, f"`{group}` {kind}, " + ", ".join(f"`{c}` double" for c in names))
+
+
+def sum_by_key(parts: DataFrame, key: str) -> DataFrame:
+    """One row per key with the sums of all other columns (doubles)."""
+    columns = [c for c in parts.columns if c != key]
+
+    def run(batches):
+        return _running_sums(_chunks(batches), key, columns)
+
+    return parts.repartition(key).sortWithinPartitions(key).mapInArrow(run, parts.schema)
 
 
 def unpack(values: dict, p: int):
@@ -111,29 +180,30 @@ def lasso_cd_batch(gram: np.ndarray, corr: np.ndarray, n: np.ndarray, alpha: flo
     every system has converged."""
     b, p = corr.shape
     w = np.zeros((b, p)) if w0 is None else w0.copy()
-    gw = np.einsum("bij,bj->bi", gram, w)
-    diag = np.diagonal(gram, axis1=1, axis2=2)
-    thr = n * alpha
-    active = np.ones(b, dtype=bool)
+    # The systems that have not converged, moved together after every sweep that ends some.
+    todo, g, c, x = np.arange(b), gram, corr, w.copy()
+    gx = np.einsum("bij,bj->bi", g, x)
+    diag, thr = np.diagonal(gram, axis1=1, axis2=2), n * alpha
     for _ in range(max_iter):
-        idx = np.nonzero(active)[0]
-        if idx.size == 0:
+        if todo.size == 0:
             break
-        max_dw = np.zeros(idx.size)
-        max_w = np.zeros(idx.size)
+        max_dw, max_w = np.zeros(todo.size), np.zeros(todo.size)
         for j in range(p):
-            d = diag[idx, j]
-            old = w[idx, j]
-            rho = corr[idx, j] - gw[idx, j] + d * old
+            d, old = diag[:, j], x[:, j].copy()
+            rho = c[:, j] - gx[:, j] + d * old
             safe = np.where(d > 0, d, 1.0)
-            new = np.where(d > 0, np.sign(rho) * np.maximum(np.abs(rho) - thr[idx], 0.0) / safe, 0.0)
+            new = np.where(d > 0, np.sign(rho) * np.maximum(np.abs(rho) - thr, 0.0) / safe, 0.0)
             delta = new - old
-            gw[idx] += gram[idx, :, j] * delta[:, None]
-            w[idx, j] = new
+            gx += g[:, :, j] * delta[:, None]
+            x[:, j] = new
             max_dw = np.maximum(max_dw, np.abs(delta))
             max_w = np.maximum(max_w, np.abs(new))
         done = (max_w == 0.0) | (max_dw <= tol * max_w)
-        active[idx[done]] = False
+        if done.any():
+            w[todo[done]] = x[done]
+            left = ~done
+            todo, g, c, x, gx, diag, thr = (v[left] for v in (todo, g, c, x, gx, diag, thr))
+    w[todo] = x
     return w
 
 
@@ -142,12 +212,13 @@ def fold_solutions(group_stats: DataFrame, totals: dict, p: int, alphas: list[fl
     """For every fold row (``fold``, ``group`` + that group's statistics):
     solve the fold's system = totals - group share, for every alpha.
     Runs per partition on Arrow batches, all folds of a batch solved together
-    (vectorised coordinate descent, warm-started from the largest alpha);
-    output one row per (fold, alpha)."""
+    (vectorised coordinate descent, started from the whole table's solution,
+    from which a fold's differs little); output one row per (fold, alpha)."""
     t = unpack(totals, p)
     sxx_cols = [(i, j) for i in range(p) for j in range(i, p)]
     gtype = group_stats.schema[group].dataType.simpleString()
     order = sorted((float(a) for a in alphas), reverse=True)
+    whole = solve_lasso(t[0], t[1], t[2], t[3], t[4], order, max_iter, tol)
 
     def solve(batches):
         for pdf in batches:
@@ -168,10 +239,9 @@ def fold_solutions(group_stats: DataFrame, totals: dict, p: int, alphas: list[fl
             xbar, ybar = sx / safe_n[:, None], sy / safe_n
             gram = sxx - safe_n[:, None, None] * np.einsum("bi,bj->bij", xbar, xbar)
             corr = sxy - safe_n[:, None] * xbar * ybar[:, None]
-            w = None
             out = []
             for a in order:
-                w = lasso_cd_batch(gram, corr, safe_n, a, w, max_iter, tol)
+                w = lasso_cd_batch(gram, corr, safe_n, a, np.repeat(whole[a][1][None, :], len(pdf), axis=0), max_iter, tol)
                 intercept = ybar - np.einsum("bi,bi->b", xbar, w)
                 part = pd.DataFrame({fold: pdf[fold].to_numpy(), group: pdf[group].to_numpy(),
                                      "alpha": a, "intercept": intercept, "coef": list(w.copy())})
