@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as se  # noqa: E402
 from pickwise.functions import reuse  # noqa: E402
-from pickwise.plans import gram, models  # noqa: E402
+from pickwise.plans import cv, gram, models  # noqa: E402
 
 
 def small_tables(spark, folder, n_cust=12, n_supp=5):
@@ -102,3 +102,17 @@ def test_folds_may_start_from_another_solution():
     warm = gram.lasso_cd_batch(g, c, n, 0.1, np.repeat(cold[:1], 30, axis=0))
     one = np.array([gram.lasso_cd(a, b, 200.0, 0.1)[0] for a, b in zip(g, c)])
     assert np.allclose(cold, one, atol=1e-12) and np.allclose(warm, one, atol=1e-10)
+
+
+def test_solutions_are_not_collected_per_fold(spark):
+    rng = np.random.default_rng(5)
+    rows = [(d, p, float(d), float(p), float(10 + d * p + rng.normal())) for d in range(10) for p in range(4)]
+    comb = spark.createDataFrame(rows, "Demand_ID long, Plant_ID long, DF1 double, PF1 double, Cost double")
+    out = cv.lasso_logo(comb, ["DF1", "PF1"], [0.01, 1.0], metric="rmse")
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.alpha, r.Demand_ID): r.Fold_RMSE for r in out.collect()}
+    assert len(got) == 20
+    for (alpha, d), rmse in got.items():
+        model = models.fit_model("lasso", {"alpha": alpha}, 1, comb.filter(F.col("Demand_ID") != d), ["DF1", "PF1"])
+        miss = [r.Cost - model.intercept - model.coef[0] * r.DF1 - model.coef[1] * r.PF1 for r in comb.filter(F.col("Demand_ID") == d).collect()]
+        assert rmse == pytest.approx(float(np.sqrt(np.mean(np.square(miss)))), rel=1e-6)
