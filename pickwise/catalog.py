@@ -534,7 +534,9 @@ def q_lasso_logo_cv(spark, sf):
 
 
 def _folds_prepared(spark, sf):
-    d, p, c = staged_inputs(spark, sf)
+    # The costs are read once, on the way to the table of pairs that the folds keep.
+    d, p, c = inputs(spark, sf)
+    d, p = cv.materialize(d), cv.materialize(p)
     return d, p, fold_prepare.fit_folds(d, p, c, prep.Preprocessor(PERCENTILE))
 
 

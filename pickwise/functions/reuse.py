@@ -46,8 +46,13 @@ def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
+def few(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether the rows, counted, may be sent to all tasks."""
+    return df.count() <= most
+
+
 def beside(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """The smaller side of a join, of one row per candidate or less: sent to all tasks if it is counted to
     have few rows, so that the other side is not shuffled before its size is known; else rebalanced,
     without a partitioning by the key, so that a hot key can be split. Read twice."""
-    return F.broadcast(df) if df.count() <= most else df.hint("rebalance")
+    return F.broadcast(df) if few(df, most) else df.hint("rebalance")

@@ -10,7 +10,11 @@ What a refit of the preprocessor without demand d would give:
   The ``reach`` medians on either side of the common cut-off decide it; a fold
   whose rank leaves this window gets a window four times as wide, until it is inside.
 * Training rows: those of the plants within the fold's cut-off but for d's own. Their statistics
-  are a prefix sum over plants in order of median, corrected by the plants whose flag d's cost decides.
+  are a prefix sum over plants in order of median, corrected by the plants whose flag d's cost decides. A pair
+  is judged only if its plant's median lies, with or without it, between the lowest and the highest cut-off of any
+  fold; sums of plant features and costs per demand stand for the others, as demand features are the same in all of
+  them. So the pairs are kept as (demand, plant, cost) and never written with their features, and
+  statistics per plant are made for the plants between the cut-offs or with a decided flag alone.
 * Scaled features: the statistics hold centred values z (0 where missing) and a
   mark u of presence, so that (z - m u) / s, the fold's scaled and mean-filled value, is linear in them.
 
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import discover_features
 from ..functions.quantiles import grouped_quantiles
-from ..functions.reuse import beside, materialize
+from ..functions.reuse import beside, few, materialize
 from ..functions.selection import middle_values
 from ..operators.combine import COST, DEMAND, PLANT, first_per_key
 from ..operators.prepare import Preprocessor, ScalerParams, fit_scaler
@@ -53,7 +57,8 @@ _NO_SPREAD = 1e-6
 class FoldPreprocessing:
     """``folds``: the demand key, ``m_i`` and ``s_i`` (mean and spread of demand feature i in
     units of the common scaler) and ``threshold``. ``pairs``: every (demand, plant, cost) with the
-    plant's median with (``old``) and without (``new``) it. ``medians``: plant and ``old``."""
+    plant's median with (``old``) and without (``new``) it, joined again wherever it is read if the plants are few.
+    ``medians``: plant and ``old``."""
     settings: Preprocessor
     demand_features: list[str]
     plant_features: list[str]
@@ -103,8 +108,10 @@ def median_changes(costs: DataFrame, demand_key: str, plant_key: str, cost: str)
     """(plant, old, n) for every plant with costs, and (demand, plant, cost, old, new) for every
     pair: the plant's median with and without the pair's cost (null: no cost is left)."""
     rows = costs.select(demand_key, plant_key, F.col(cost).cast("double").alias(cost)).filter(F.col(plant_key).isNotNull() & F.col(cost).isNotNull())
-    known = rows.filter(F.col(demand_key).isNotNull()).groupBy(demand_key, plant_key).agg(F.min(cost).alias(cost))
-    rows = materialize(known.unionByName(rows.filter(F.col(demand_key).isNull())))
+    # One row per pair; each cost without a demand is a row. A partitioning of the costs by the pair is kept.
+    alone = F.when(F.col(demand_key).isNull(), F.monotonically_increasing_id())
+    rows = rows.withColumn("__alone", alone).groupBy(demand_key, plant_key, "__alone").agg(F.min(cost).alias(cost)).drop("__alone")
+    rows = materialize(rows)
     odd = F.col("n") % 2 == 1
     middle = middle_values(rows, [plant_key], cost)
     middle = materialize(middle.withColumn("old", F.when(odd, F.col("at")).otherwise(_between("at", "above"))))
@@ -112,9 +119,10 @@ def median_changes(costs: DataFrame, demand_key: str, plant_key: str, cost: str)
     new = F.when(F.col("n") == 1, F.lit(None).cast("double")) \
         .when(odd & (x < F.col("at")), _between("at", "above")).when(odd & (x > F.col("at")), _between("below", "at")) \
         .when(odd, _between("below", "above")).when(x <= F.col("at"), F.col("above")).otherwise(F.col("at"))
-    pairs = rows.filter(F.col(demand_key).isNotNull()).join(beside(middle), plant_key)
+    cheap = few(middle)
+    pairs = rows.filter(F.col(demand_key).isNotNull()).join(F.broadcast(middle) if cheap else middle.hint("rebalance"), plant_key)
     pairs = pairs.select(demand_key, plant_key, cost, "old", new.alias("new"))
-    return middle.select(plant_key, "old", "n"), pairs
+    return middle.select(plant_key, "old", "n"), pairs if cheap else materialize(pairs)
 
 
 def _between(a: str, b: str) -> Column:
@@ -176,7 +184,6 @@ def fit_folds(demand: DataFrame, plants: DataFrame, costs: DataFrame, settings:
     dfeat, pfeat = discover_features(demand, s.demand_prefix), discover_features(plants, s.plant_prefix)
     scaler, scalers = fold_scalers(demand, dfeat, s.demand_key)
     medians, pairs = median_changes(costs, s.demand_key, s.plant_key, s.cost)
-    pairs = materialize(pairs)
     special, cut, steps = fold_thresholds(medians, pairs, s.demand_key, s.plant_key, s.plant_filter_percentile, reach)
     special = special.withColumn("special", F.lit(True))
     folds = scalers.join(special, s.demand_key, "left").withColumn(
@@ -186,18 +193,46 @@ def fit_folds(demand: DataFrame, plants: DataFrame, costs: DataFrame, settings:
 
 @dataclass
 class FoldSystems:
-    """``rows``: the pairs with their features (``z_i``, ``u_i``, plant features) and medians; ``stats``: per fold
-    the statistics of its training rows, with ``n_held_out``."""
+    """``folds``: per demand its fold's preprocessing, features (``z_i``, ``u_i``), the sums over its own held-out rows
+    (``b_``: ``gram.stat_columns`` of the plant features), ``slot``, its place in ``prefix`` (the statistics of all
+    plants up to a cut-off), and ``moved``, the statistics of plants whose flag its costs decide. ``plants``: plant features.
+    ``least`` and ``most``: the lowest and the highest cut-off."""
     fitted: FoldPreprocessing
-    rows: DataFrame
+    folds: DataFrame
+    plants: DataFrame
     columns: list[str]
     marks: list[int]
-    stats: DataFrame
+    prefix: DataFrame
+    least: float | None
+    most: float | None
+
+    @property
+    def stats(self) -> DataFrame:
+        """Per fold the statistics of its training rows, with ``n_held_out``."""
+        return self.statistics(self.folds)
+
+    def statistics(self, folds: DataFrame) -> DataFrame:
+        p, names = len(self.fitted.plant_features), gram.stat_columns(len(self.columns))
+        own = gram.widened([F.col(c) for c in self.columns[:len(self.columns) - p]], _own(p), p)
+        kept = [c for c in folds.columns if not c.startswith("b_") and c not in ("slot", "moved")]
+        sums = [(F.col(c) + F.coalesce(F.col("moved")[i], F.lit(0.0)) - x).alias(c) for i, (c, x) in enumerate(zip(names, own))]
+        return folds.join(F.broadcast(self.prefix), "slot").select(*kept, *sums, F.round("b_n").cast("long").alias("n_held_out"))
+
+
+def _own(p: int) -> list[Column]:
+    return [F.col(f"b_{c}") for c in gram.stat_columns(p)]
 
 
 def _slot(x: Column, steps: list[float]) -> Column:
     """How many of the steps are at most x."""
-    return F.size(F.filter(F.array(*[F.lit(v) for v in steps]), lambda v: v <= x))
+    return F.size(F.filter(F.array(*[F.lit(v) for v in steps]), lambda v: v <= x)) if steps else F.lit(0)
+
+
+def _with_plants(pairs: DataFrame, plants: DataFrame, key: str, plant: str) -> tuple[DataFrame, bool]:
+    """The pairs with the plants' features, and whether they are dealt by ``key`` (narrow, before a broadcast join)."""
+    if few(plants):
+        return pairs.hint("rebalance", F.col(key)).join(F.broadcast(plants), plant), True
+    return pairs.join(plants.hint("rebalance"), plant), False
 
 
 def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame) -> FoldSystems:
@@ -209,41 +244,52 @@ def fold_systems(fitted: FoldPreprocessing, demand: DataFrame, plants: DataFrame
     marks = [i for i, f in enumerate(dfeat) if present[f] < present["__n"]]        # features with a missing value somewhere
     d = first_per_key(demand, key, dfeat) if dfeat else demand.select(key).distinct()
     z = [(F.col(f).cast("double") - F.lit(m)) / F.lit(sd) for f, m, sd in zip(dfeat, fitted.scaler.means, fitted.scaler.stds)]
-    d = d.select(key, *[F.coalesce(x, F.lit(0.0)).alias(f"z_{i}") for i, x in enumerate(z)],
+    d = d.select(F.col(key).alias(DEMAND), *[F.coalesce(x, F.lit(0.0)).alias(f"z_{i}") for i, x in enumerate(z)],
                  *[F.col(dfeat[i]).isNotNull().cast("double").alias(f"u_{i}") for i in marks])
     p = fit_scaler(plants, pfeat).apply(first_per_key(plants, plant, pfeat)).na.drop(how="any") if pfeat else plants.select(plant).distinct()
-    columns = [f"z_{i}" for i in range(len(dfeat))] + [f"u_{i}" for i in marks] + list(pfeat)
-    # The fold's cut-off comes with the demand, so that the rows are joined once; they are dealt by demand
-    # (adaptive execution splits a large one) for that join and for the folds' own statistics.
-    limits = fitted.folds.select(key, "threshold")
-    d = d.join(limits, key, "left")
-    rows = fitted.pairs.join(beside(materialize(p)), plant).hint("rebalance", F.col(key)).join(d, key)
-    rows = materialize(rows.select(F.col(key).alias(DEMAND), F.col(plant).alias(PLANT), F.col(s.cost).alias(COST), "old", "new", "threshold", *columns))
-    names = gram.stat_columns(len(columns))
-    # Statistics per plant, and of all plants up to every step of the cut-off (at most len(steps) + 1 rows).
-    per_plant = materialize(rows.groupBy(PLANT).agg(F.first("old").alias("old"), *gram.stat_aggs(columns, COST)))
-    steps = fitted.steps
-    top = steps[-1] if steps else 0.0
-    by_slot = {r["slot"]: np.array([r[c] for c in names]) for r in per_plant.filter(F.col("old") <= top).groupBy(
-        (_slot(F.col("old"), steps) if steps else F.lit(0)).alias("slot")).agg(*[F.sum(c).alias(c) for c in names]).collect()}
-    running, prefix = np.zeros(len(names)), [(-1, *[0.0] * len(names))]      # slot -1: no threshold, no training rows
+    p = materialize(p.select(F.col(plant).alias(PLANT), *pfeat))
+    side = [f"z_{i}" for i in range(len(dfeat))] + [f"u_{i}" for i in marks]
+    columns, names, narrow = side + list(pfeat), gram.stat_columns(len(side) + len(pfeat)), gram.stat_columns(len(pfeat))
+    pairs = fitted.pairs.select(F.col(key).alias(DEMAND), F.col(plant).alias(PLANT), F.col(s.cost).alias(COST), "old", "new")
+    ends = fitted.folds.agg(F.min("threshold").alias("least"), F.max("threshold").alias("most")).first()
+    least, most = F.lit(ends["least"]).cast("double"), F.lit(ends["most"]).cast("double")
+    steps = [v for v in fitted.steps if ends["least"] is not None and ends["least"] < v <= ends["most"]]
+    # Per demand the sums over its pairs with plants within every cut-off.
+    within, dealt = _with_plants(pairs.filter(F.col("old") <= least).select(DEMAND, PLANT, COST), p, DEMAND, PLANT)
+    sums = gram.gram_parts(within, pfeat, COST, DEMAND, dealt=dealt).groupBy(DEMAND).agg(*[F.sum(c).alias(f"b_{c}") for c in narrow])
+    folds = fitted.folds.withColumnRenamed(key, DEMAND).join(d, DEMAND).join(sums, DEMAND, "left").na.fill(0.0, [f"b_{c}" for c in narrow])
+    folds = materialize(folds)
+    whole = gram.widened([F.col(c) for c in side], _own(len(pfeat)), len(pfeat))
+    total = folds.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(c) for c, x in zip(names, whole)]).first()
+    # The other pairs, each judged by its fold's cut-off: a few, unless the cut-offs lie far apart.
+    sure = (F.col("old") <= least) & F.coalesce(F.col("new") <= least, F.lit(False))
+    judged = pairs.filter(~sure & ((F.col("old") <= most) | F.coalesce(F.col("new") <= most, F.lit(False))))
+    judged = judged.join(folds.select(DEMAND, "threshold"), DEMAND)
+    before, after = (F.coalesce(F.col(c) <= F.col("threshold"), F.lit(False)).cast("int") for c in ("old", "new"))
+    judged = materialize(judged.select(DEMAND, PLANT, COST, (after - before).alias("turn"), (after - (F.col("old") <= least).cast("int")).alias("change")))
+    change = judged.filter("change <> 0").join(beside(p), PLANT).select(DEMAND, *[x.alias(c) for c, x in zip(narrow, gram.stat_products(pfeat, COST, F.col("change")))])
+    change = change.groupBy(DEMAND).agg(*[F.sum(c).alias(f"c_{c}") for c in narrow])
+    # Statistics per plant: of those between the cut-offs and of those that come or go by a fold's own cost.
+    turned = judged.filter("turn <> 0").select(DEMAND, PLANT, "turn")
+    medians = fitted.medians.select(F.col(plant).alias(PLANT), "old")
+    between = (F.col("old") > least) & (F.col("old") <= most)
+    wanted = medians.join(turned.select(PLANT, F.lit(True).alias("turns")).distinct(), PLANT, "left").filter(between | F.col("turns"))
+    wanted = materialize(wanted.select(PLANT, "old"))
+    rows = pairs.drop("old", "new").join(beside(wanted.select(PLANT)), PLANT, "left_semi").join(folds.select(DEMAND, *side), DEMAND).join(beside(p), PLANT)
+    per_plant = materialize(gram.gram_stats(rows, columns, COST, PLANT).join(beside(wanted), PLANT))
+    by_slot = {r["slot"]: np.array([r[c] for c in names]) for r in per_plant.filter(between).groupBy(
+        _slot(F.col("old"), steps).alias("slot")).agg(*[F.sum(c).alias(c) for c in names]).collect()}
+    running, prefix = np.array([total[c] for c in names]), [(-1, *[0.0] * len(names))]      # slot -1: no threshold, no training rows
     for i in range(len(steps) + 1):
         running = running + by_slot.get(i, 0.0)
         prefix.append((i, *running.tolist()))
-    prefix_df = rows.sparkSession.createDataFrame(prefix, "slot int, " + ", ".join(f"{c} double" for c in names))
-    # Own rows go; plants whose flag the fold's own cost decides come or go.
-    limits = limits.withColumnRenamed(key, DEMAND)
-    before, after = F.coalesce(F.col("old") <= F.col("threshold"), F.lit(False)), F.coalesce(F.col("new") <= F.col("threshold"), F.lit(False))
-    judged = rows.withColumn("good", after).withColumn("turn", after.cast("int") - before.cast("int"))
-    own = gram.gram_parts(judged.filter("good"), columns, COST, DEMAND, count="n_held_out", dealt=True)
-    own = own.select(DEMAND, "n_held_out", *[(-F.col(c)).alias(c) for c in names])
-    turned = judged.filter("turn <> 0").select(DEMAND, PLANT, "turn").join(beside(per_plant), PLANT)
-    turned = turned.select(DEMAND, F.lit(0.0).alias("n_held_out"), *[(F.col(c) * F.col("turn")).alias(c) for c in names])
-    start = limits.withColumn("slot", F.when(F.col("threshold").isNull(), -1).otherwise(_slot(F.col("threshold"), steps) if steps else F.lit(0)))
-    start = start.join(F.broadcast(prefix_df), "slot").select(DEMAND, F.lit(0.0).alias("n_held_out"), *names)
-    stats = gram.sum_by_key(start.unionByName(own).unionByName(turned), DEMAND).withColumn("n_held_out", F.col("n_held_out").cast("long"))
-    stats = stats.join(fitted.folds.withColumnRenamed(key, DEMAND), DEMAND)
-    return FoldSystems(fitted, judged.drop("turn"), columns, marks, materialize(stats))
+    prefix_df = folds.sparkSession.createDataFrame(prefix, "slot int, " + ", ".join(f"{c} double" for c in names))
+    moved = turned.join(beside(per_plant), PLANT).groupBy(DEMAND).agg(*[F.sum(F.col(c) * F.col("turn")).alias(c) for c in names])
+    # Own sums: those within every cut-off, and what the judged pairs change.
+    folds = folds.join(change, DEMAND, "left").join(moved.select(DEMAND, F.array(*names).alias("moved")), DEMAND, "left")
+    folds = folds.select(*[c for c in folds.columns if c[:2] not in ("b_", "c_")], F.when(F.col("threshold").isNull(), -1).otherwise(_slot(F.col("threshold"), steps)).alias("slot"),
+                         *[(F.col(f"b_{c}") + F.coalesce(F.col(f"c_{c}"), F.lit(0.0))).alias(f"b_{c}") for c in narrow])
+    return FoldSystems(fitted, materialize(folds), p, columns, marks, prefix_df, ends["least"], ends["most"])
 
 
 def fold_counts(systems: FoldSystems) -> DataFrame:
@@ -292,23 +338,33 @@ def _solver(columns: int, n_demand: int, marks: list[int], alpha: float, max_ite
 def lasso_logo_refit(systems: FoldSystems, alpha: float = 1.0, max_iter: int = 10_000) -> DataFrame:
     """G3 without leakage: per demand with held-out rows the regret of a Lasso fitted, preprocessing
     included, without that demand: Demand_ID, n_train, n_held_out, Selection_Error, Fold_RMSE."""
-    n_demand = len(systems.fitted.demand_features)
+    n_demand, pfeat = len(systems.fitted.demand_features), systems.fitted.plant_features
     usable = F.col("n") > 0.5
     for i in range(n_demand):
         usable = usable & F.col(f"m_{i}").isNotNull()
-    stats = systems.stats.filter(usable & (F.col("n_held_out") > 0))
-    tasks = max(1, math.ceil(stats.count() / SOLVES_PER_TASK))
-    kind = stats.schema[DEMAND].dataType.simpleString()
-    solved = materialize(stats.repartition(tasks, DEMAND).mapInPandas(
+    usable = usable & (F.col("n_held_out") > 0)
+    tasks = max(1, math.ceil(systems.stats.filter(usable).count() / SOLVES_PER_TASK))
+    kind = systems.folds.schema[DEMAND].dataType.simpleString()
+    # Dealt before the statistics are spelled out.
+    stats = systems.statistics(systems.folds.repartition(tasks, DEMAND)).filter(usable)
+    solved = materialize(stats.mapInPandas(
         _solver(len(systems.columns), n_demand, systems.marks, float(alpha), max_iter), f"{DEMAND} {kind}, intercept double, coef array<double>"))
-    sides = stats.select(DEMAND, F.round("n").cast("long").alias("n_train"), "n_held_out", *[c for i in range(n_demand) for c in (f"m_{i}", f"s_{i}")])
-    sides = sides.join(solved, DEMAND)
-    held = systems.rows.filter("good").drop("threshold").join(sides.hint("rebalance"), DEMAND)
-    x = []
+    sides = systems.stats.filter(usable).join(solved, DEMAND)
+    # The demand's part of the prediction is the same for all its pairs.
+    shared = F.col("intercept")
     for i in range(n_demand):
         present = F.col(f"u_{i}") if i in systems.marks else F.lit(1.0)
-        x.append((F.col(f"z_{i}") - F.col(f"m_{i}") * present) / F.when(F.col(f"s_{i}") == 0, 1.0).otherwise(F.col(f"s_{i}")))
-    x += [F.col(f) for f in systems.fitted.plant_features]
-    held = held.withColumn("prediction", sum((F.col("coef")[i] * c for i, c in enumerate(x)), F.col("intercept")))
+        x = (F.col(f"z_{i}") - F.col(f"m_{i}") * present) / F.when(F.col(f"s_{i}") == 0, 1.0).otherwise(F.col(f"s_{i}"))
+        shared = shared + F.col("coef")[i] * x
+    sides = sides.select(DEMAND, F.round("n").cast("long").alias("n_train"), "n_held_out", "threshold", shared.alias("shared"),
+                         *[F.col("coef")[n_demand + j].alias(f"w_{j}") for j in range(len(pfeat))])
+    # Pairs within some cut-off; those within every one need not be judged.
+    s = systems.fitted.settings
+    held = systems.fitted.pairs.filter(F.col("new") <= F.lit(systems.most).cast("double")).select(
+        F.col(s.demand_key).alias(DEMAND), F.col(s.plant_key).alias(PLANT), F.col(s.cost).alias(COST),
+        F.when(F.col("new") > F.lit(systems.least).cast("double"), F.col("new")).alias("new"))
+    held = held.join(sides.hint("rebalance"), DEMAND).filter(F.col("new").isNull() | (F.col("new") <= F.col("threshold")))
+    held = held.drop("new", "threshold").join(beside(systems.plants), PLANT)
+    held = held.withColumn("prediction", sum((F.col(f"w_{j}") * F.col(f) for j, f in enumerate(pfeat)), F.col("shared")))
     scen = scenario_table(held, extra_keys=["n_train", "n_held_out"])
     return scen.select("Demand_ID", "n_train", "n_held_out", "Selection_Error", F.abs("Selection_Error").alias("Fold_RMSE"))

@@ -33,6 +33,20 @@ def stat_columns(p: int) -> list[str]:
     return cols
 
 
+def stat_products(features: list[str], label: str, weight: Column) -> list[Column]:
+    """What a row adds to each of ``stat_columns``, times its weight."""
+    x, y, p = [F.col(f).cast("double") for f in features], F.col(label).cast("double"), len(features)
+    return [c * weight for c in [F.lit(1.0), y, y * y, *x, *[v * y for v in x], *[x[i] * x[j] for i in range(p) for j in range(i, p)]]]
+
+
+def widened(x: list[Column], sums: list[Column], p: int) -> list[Column]:
+    """``stat_columns`` of x and p more features over rows that share x, from the rows' ``stat_columns`` of the p features."""
+    n, sy, syy, sx, sxy, k = *sums[:3], sums[3:3 + p], sums[3 + p:3 + 2 * p], len(x)
+    squares = {(i, j): sums[3 + 2 * p + at] for at, (i, j) in enumerate((i, j) for i in range(p) for j in range(i, p))}
+    cross = [x[i] * x[j] * n if j < k else x[i] * sx[j - k] if i < k else squares[i - k, j - k] for i in range(k + p) for j in range(i, k + p)]
+    return [n, sy, syy, *[v * n for v in x], *sx, *[v * sy for v in x], *sxy, *cross]
+
+
 def stat_aggs(features: list[str], label: str) -> list[Column]:
     x = [F.col(f).cast("double") for f in features]
     y = F.col(label).cast("double")

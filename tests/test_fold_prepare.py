@@ -2,6 +2,8 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
 from pickwise.functions.selection import middle_values
 from pickwise.operators.prepare import Preprocessor
 from pickwise.plans import fold_prepare as fp
@@ -130,3 +132,35 @@ def test_one_demand_and_a_feature_without_values(spark):
 def test_other_strategies_are_refused(spark):
     with pytest.raises(ValueError):
         fp.fit_folds(*frames(spark, [], [], []), Preprocessor(75.0, "zero"))
+
+
+def test_pairs_are_not_written_with_their_features(spark, monkeypatch):
+    # Plants far apart: only few of them can come or go with a fold, so only few pairs are judged.
+    rng = np.random.default_rng(6)
+    demand, plants, _ = tables(6, 40, 24)
+    costs = [(d, p, float(100 * p + rng.normal())) for d in range(40) for p in range(24)] + [(None, 2, 200.0), (None, 2, 200.0), (7, 3, 301.0)]
+    d, p, c = frames(spark, demand, plants, costs)
+    written, real = [], fp.materialize
+    monkeypatch.setattr(fp, "materialize", lambda df: (written.append((real(df), df.columns)), written[-1][0])[1])
+    per_plant, grams = [], gram.gram_stats
+    monkeypatch.setattr(gram, "gram_stats", lambda df, features, label, group=None: (per_plant.append(df.select(group).distinct().count()), grams(df, features, label, group))[1])
+    systems = fp.fold_systems(fp.fit_folds(d, p, c), d, p)
+    regrets = {r.Demand_ID: r for r in fp.lasso_logo_refit(systems, 0.05).collect()}
+    pairs = [columns for df, columns in written if df.count() >= 40 * 24 / 2]
+    assert pairs == [["demand_id", "plant_id", "cost"]]
+    assert max(per_plant) <= 6
+    for out in range(0, 40, 9):
+        _, _, n_train, n_held, regret = refit(demand, plants, costs, out)
+        assert (regrets[out].n_train, regrets[out].n_held_out) == (n_train, n_held)
+        assert math.isclose(regrets[out].Selection_Error, regret, abs_tol=1e-9)
+
+
+def test_sums_of_shared_features(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(b), float(y)) for a, b, y in rng.normal(size=(30, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, y double").selectExpr("2.5D as x", "-1.5D as u", "*")
+    narrow = df.agg(*gram.stat_aggs(["a", "b"], "y"), F.first("x").alias("x"), F.first("u").alias("u"))
+    got = narrow.select(*gram.widened([F.col("x"), F.col("u")], [F.col(c) for c in gram.stat_columns(2)], 2)).first()
+    assert list(got) == pytest.approx(list(df.agg(*gram.stat_aggs(["x", "u", "a", "b"], "y")).first()), rel=1e-12, abs=1e-12)
+    doubled = df.agg(*[F.sum(c).alias(n) for n, c in zip(gram.stat_columns(2), gram.stat_products(["a", "b"], "y", F.lit(2)))]).first()
+    assert [v / 2 for v in doubled] == pytest.approx(list(df.agg(*gram.stat_aggs(["a", "b"], "y")).first()), rel=1e-12)
